@@ -1,0 +1 @@
+"""Continuous forms of the ingest and monitoring jobs (Structured Streaming)."""
