@@ -1,7 +1,7 @@
 """All registered queries."""
 
-from . import recommend
+from . import classify, recommend
 
-MODULES = [recommend]
+MODULES = [recommend, classify]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}

@@ -191,9 +191,9 @@ def suitability_label(decision: Column) -> Column:
     )
 
 
-def final_metrics_pick(metadata: DataFrame) -> DataFrame:
+def final_metrics_pick(metadata: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Chosen fields of model metadata texts (column ``text``), as text; absent ones are null."""
-    return metadata.select(*[F.get_json_object("text", f"$.{name}").alias(name) for name in METRIC_FIELDS])
+    return metadata.select(*(keep or []), *[F.get_json_object("text", f"$.{name}").alias(name) for name in METRIC_FIELDS])
 
 
 def experiment_filter(preds: DataFrame, experiment: str, column: str = "experiment_slug") -> DataFrame:
