@@ -43,7 +43,7 @@ def normalise_producer_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
         (_blank("producer_id") | _blank("producer_name") | _blank("postcode_area") | _blank("source"), "empty required field"),
     )
     valid, rejected = _split(events.withColumn("reject_reason", reason))
-    categories = F.filter(F.transform(F.coalesce("categories", F.array().cast("array<string>")), F.trim), lambda c: c != "")
+    categories = F.filter(F.transform(F.coalesce("categories", F.array().cast("array<string>")), lambda c: F.trim(c)), lambda c: c != "")
     return (
         valid.select(
             "seq", "event_type", "producer_id", _text("producer_name").alias("producer_name"),
