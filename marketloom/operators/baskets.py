@@ -53,5 +53,8 @@ def history_x_cooccurrence(history: DataFrame, edges: DataFrame) -> DataFrame:
     A popular product is a hot key on the history side; the join's output is shuffled again for the
     sum, so adaptive execution is free to split that key.
     """
-    scored = history.select("customer_id", F.col("product_id").alias("product_a")).join(edges, "product_a")
+    # Few purchases meet many edges each, so they are dealt out evenly before the join.
+    parts = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = history.select("customer_id", F.col("product_id").alias("product_a")).repartition(parts, "customer_id", "product_a")
+    scored = dealt.join(edges, "product_a")
     return scored.groupBy("customer_id", F.col("product_b").alias("product_id")).agg(F.sum("n").alias("raw"))

@@ -11,7 +11,7 @@ from ..functions.numbers import clamp01, flag, round6
 from ..functions.reasons import DISCOVERY_DEFAULT, DISCOVERY_WORDING, code, joined, reason_codes, reason_text
 from ..functions.seasons import seasonal_flag
 from ..session import cut
-from .baskets import basket_pairs, history_x_cooccurrence
+from .baskets import basket_pairs
 from .lines import customer_types, keyed, next_day, product_popularity, segment_popularity
 from .ranking import ranked, top_k
 
@@ -311,29 +311,42 @@ def _discover_popular(targets: DataFrame, basis: Basis, method: str, k: int) ->
 # --- co-occurrence -------------------------------------------------------------------------------
 
 
+def raw_scores(own: DataFrame, edges: DataFrame) -> DataFrame:
+    """Raw scores (customer, candidate) with ``bought`` = 1 on products the customer already has.
+
+    Purchases go into the same sum as rows of weight 0, so marking them costs no join.
+    """
+    # Each purchase meets every edge of its product, so a small file of purchases is a lot of work:
+    # it is dealt out by (customer, product) first, which also deals out a popular product. When
+    # the edges are too large to broadcast, adaptive execution splits such a product instead.
+    own = own.repartition(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), "customer_id", "product_id")
+    scored = own.withColumnRenamed("product_id", "product_a").join(edges, "product_a").select(
+        "customer_id", "customer_type", F.col("product_b").alias("product_id"), "n", F.lit(0).alias("bought")
+    )
+    marks = own.select("customer_id", "customer_type", "product_id", F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("bought"))
+    return scored.unionByName(marks).groupBy("customer_id", "customer_type", "product_id").agg(
+        F.sum("n").alias("raw"), F.max("bought").alias("bought")
+    )
+
+
 def cooccurrence_candidates(targets: DataFrame, basis: Basis) -> DataFrame:
     """Every scored co-occurrence candidate of every target customer, as narrow numeric rows.
 
     Names, components and codes are added by ``_as_cooccurrence_rows`` to the few that stay.
     """
-    history, edges, products, as_of = basis.history, basis.edges, basis.products, basis.as_of
-    own = history.join(targets.select("customer_id"), "customer_id", "left_semi")
+    season = seasonal_flag(F.month(basis.as_of), F.col("seasonal_start_month"), F.col("seasonal_end_month"))
     segment = segment_popularity(basis.sales).select("customer_type", "product_id", F.col("popularity").alias("_segment"))
-    listed = products.select(
-        "product_id", "producer_id", F.lit(True).alias("_listed"),
-        seasonal_flag(F.month(as_of), F.col("seasonal_start_month"), F.col("seasonal_end_month")).alias("_season"),
-    )
-    # The largest raw score counts products that were bought or are unlisted, so those rows are
-    # marked here and drop only after the window. The sum, the mark and the window need two
-    # shuffles of the scores: by (customer, product), then by customer.
+    listed = basis.products.select("product_id", "producer_id", season.alias("_season"))
+    # The raw scores are the big table of this job and are read three times from here on.
+    raw = cut(raw_scores(basis.history.join(targets, "customer_id"), basis.edges))
+    # The largest raw score counts products that were bought or are unlisted.
+    largest = raw.groupBy("customer_id").agg(F.max("raw").alias("_largest"))
     parts = (
-        history_x_cooccurrence(own, edges)
-        .join(own.withColumn("_bought", F.lit(True)), ["customer_id", "product_id"], "left")
-        .join(listed, "product_id", "left")
-        .join(targets, "customer_id")
+        raw.filter((F.col("bought") == 0) & (F.col("raw") > 0))
+        .join(listed, "product_id")
         .join(segment, ["customer_type", "product_id"], "left")
-        .withColumn("_co", F.col("raw") / F.max("raw").over(Window.partitionBy("customer_id")))
-        .filter(F.col("_listed") & F.col("_bought").isNull())
+        .join(largest, "customer_id")
+        .withColumn("_co", F.col("raw") / F.col("_largest"))
         .withColumn("_segment", F.coalesce("_segment", F.lit(0.0)))
     )
     score = (
@@ -344,6 +357,24 @@ def cooccurrence_candidates(targets: DataFrame, basis: Basis) -> DataFrame:
     )
 
 
+def within_reach(candidates: DataFrame, k: int, steps: int = 200) -> DataFrame:
+    """Drops candidates that cannot be in a shortlist of k, before any row is sorted.
+
+    Scores are put in ``steps`` bands. Per customer and band a 63-bit mask of hashed producers is
+    kept, which is map-side combined to a few numbers per customer. Going down the bands, once the
+    masks together show k different bits there are at least k producers, hence at least k rows, in
+    these bands, and everything below is out of reach. Hash collisions only make it keep more.
+    """
+    band = F.floor(F.col("score") * steps).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.hash("producer_id"), F.lit(63)))
+    masks = candidates.groupBy("customer_id", band.alias("_band")).agg(F.bit_or(bit).alias("_mask"))
+    down = Window.partitionBy("customer_id").orderBy(F.desc("_band"))
+    seen = masks.withColumn("_bits", F.bit_count(F.bit_or("_mask").over(down)))
+    floors = seen.filter(F.col("_bits") >= k).groupBy("customer_id").agg(F.max("_band").alias("_floor"))
+    kept = candidates.join(floors, "customer_id", "left").filter(band >= F.coalesce("_floor", F.lit(0)))
+    return kept.drop("_floor")
+
+
 def _as_cooccurrence_rows(scored: DataFrame, products: DataFrame) -> DataFrame:
     codes = reason_codes(
         code("commonly_bought_together"), code("similar_basket_pattern"), code("new_to_customer"),
@@ -426,7 +457,8 @@ def _discover_cooccurring(targets: DataFrame, basis: Basis, k: int) -> DataFrame
     # What follows reads the candidates several times. The shortlist, at most 2k rows a customer, is
     # all it needs - it has fewer than k rows only when the customer has fewer than k candidates -
     # so that is written once.
-    near = cut(_as_cooccurrence_rows(shortlist(cooccurrence_candidates(targets, basis), k), basis.products))
+    near = shortlist(within_reach(cooccurrence_candidates(targets, basis), k), k)
+    near = cut(_as_cooccurrence_rows(near, basis.products))
     filled = discovery_fallback_chain(near, targets, basis, k)
     return _based_on(diversity_rerank(filled, k), basis.history, basis.edges)
 
