@@ -77,13 +77,13 @@ class Basis:
     @cached_property
     def everyone(self) -> DataFrame:
         """The ranked popularity list of all customers, under the name ``*``."""
-        return rank_lists(popularity_list(self.sales, self.products, self.as_of, by_segment=False))
+        return cut(rank_lists(popularity_list(self.sales, self.products, self.as_of, by_segment=False)))
 
     @cached_property
     def lists(self) -> DataFrame:
         """The ranked popularity lists of all customers and of each customer type."""
         segments = popularity_list(self.sales, self.products, self.as_of, by_segment=True)
-        return rank_lists(popularity_list(self.sales, self.products, self.as_of, by_segment=False).unionByName(segments))
+        return cut(rank_lists(popularity_list(self.sales, self.products, self.as_of, by_segment=False).unionByName(segments)))
 
 
 # --- greedy producer-diverse choice --------------------------------------------------------------
@@ -213,17 +213,18 @@ def popularity_candidates(
     customer's purchases leave untouched, and the best product left of each producer they touch.
     """
     if exclude_bought:
-        bought = history.join(customers.select("customer_id", "list"), "customer_id").join(
+        # The purchases with their places are as many as the purchases and are read twice.
+        bought = cut(history.join(customers.select("customer_id", "list"), "customer_id").join(
             lists.select("list", "product_id", "producer_id", "place", "producer_place", "producer_rank"), ["list", "product_id"]
-        )
+        ))
         free = _unbought_places(bought, "place", k, "places")
         # A producer is touched when its best product is bought; the run of bought products from its
         # first on tells which one is the best left.
         in_producer = Window.partitionBy("customer_id", "producer_id").orderBy("producer_place")
         run = bought.withColumn("_n", F.row_number().over(in_producer)).filter("_n = producer_place")
-        touched = run.groupBy("customer_id", "list", "producer_id").agg(
+        touched = cut(run.groupBy("customer_id", "list", "producer_id").agg(
             F.max("producer_place").alias("_run"), F.max("producer_rank").alias("producer_rank")
-        )
+        ))
         producers = _unbought_places(touched, "producer_rank", k, "producer_ranks")
         left_over = touched.select("customer_id", "list", "producer_id", (F.col("_run") + 1).alias("producer_place"))
         wanted = customers.join(free, "customer_id", "left").join(producers, "customer_id", "left")
@@ -298,7 +299,7 @@ def _discover_popular(targets: DataFrame, basis: Basis, method: str, k: int) ->
         lists, customers = basis.lists, targets.withColumn("list", F.coalesce("customer_type", F.lit("*")))
     else:
         lists, customers = basis.everyone, targets.withColumn("list", F.lit("*"))
-    counted = _bought_in_list(customers, history, lists).withColumn("refilled", F.col("unbought") < k)
+    counted = cut(_bought_in_list(customers, history, lists).withColumn("refilled", F.col("unbought") < k))
     # With fewer than k new products every product of the list counts, bought or not.
     enough, short = counted.filter("not refilled"), counted.filter("refilled")
     found = popularity_candidates(enough, history, lists, k).unionByName(
@@ -419,7 +420,7 @@ def fallback_candidates(short: DataFrame, basis: Basis, k: int) -> DataFrame:
     """
     history, lists = basis.history, basis.lists
     customers = short.withColumn("list", F.coalesce("customer_type", F.lit("*")))
-    counted = _bought_in_list(customers, history, lists).withColumn("refilled", F.col("found") + F.col("unbought") < k)
+    counted = cut(_bought_in_list(customers, history, lists).withColumn("refilled", F.col("found") + F.col("unbought") < k))
     names = counted.select("customer_id", "customer_type", "refilled")
 
     first = popularity_candidates(counted, history, lists, k).join(names, "customer_id")
@@ -440,12 +441,12 @@ def discovery_fallback_chain(candidates: DataFrame, targets: DataFrame, basis: B
     is short - the usual case on a grown history - the popularity lists are not even made.
     """
     found = candidates.groupBy("customer_id").agg(F.count("*").alias("found"))
-    short = (
+    short = cut(
         targets.join(found, "customer_id", "left").withColumn("found", F.coalesce("found", F.lit(0))).filter(F.col("found") < k)
     )
     if short.isEmpty():
         return candidates
-    fill = fallback_candidates(short, basis, k)
+    fill = cut(fallback_candidates(short, basis, k))
     # Customers with enough candidates pass through; only short ones are de-duplicated.
     own = candidates.join(short.select("customer_id"), "customer_id", "left_semi").withColumn("_source", F.lit(0))
     merged = top_k(own.unionByName(fill), ["customer_id", "product_id"], [F.desc("score"), F.asc("_source")], 1, "_at")
