@@ -48,7 +48,7 @@ def _quality(spark, **over):
         ({"color_score": 60.0}, "C", "manual_review_or_discard", False, "one_or_more_grade_c_thresholds_triggered"),
         ({"dark_ratio": 0.32}, "C", "manual_review_or_discard", False, "one_or_more_grade_c_thresholds_triggered"),
         ({"confidence": 0.59}, "Review", "manual_review_required", True, "low_model_confidence"),
-        ({"condition": "rotten", "confidence": 0.80}, "C", "manual_review_or_discard", False, "high_confidence_rotten_prediction"),
+        ({"condition": "rotten", "confidence": 0.80, "top_k": [("Apple__Rotten", 0.80)]}, "C", "manual_review_or_discard", False, "high_confidence_rotten_prediction"),
         ({"condition": "rotten", "confidence": 0.70}, "C", "manual_review_before_listing", True, "possible_rotten_prediction_manual_review"),
         ({"image_quality_score": 10.0}, "Review", "manual_review_required", True, "very_poor_image_quality"),
         ({"image_quality_score": 30.0}, "B", "discount_or_quick_sale", True, "image_quality_warning"),
