@@ -10,17 +10,23 @@ from ..operators import reorder as R
 from ..operators.catalog import apply_catalog_events
 from ..operators.lines import available_products, next_day, order_lines
 from ..operators.orders import apply_history_events, apply_order_events, validate_history, validate_order_events
+from ..session import cut
 from ..sources.tables import Tables
 
 LIST_COLUMNS = ["customer_id", "customer_type", "section", "method", "rank", "product_id", "product_name", "producer_id", "score", "reason_codes"]
 
 
 def live_tables(tables: Tables, producer_events: DataFrame, product_events: DataFrame, history: DataFrame, orders: DataFrame) -> Tables:
-    """Base tables with the logs laid over them: catalogue, then history, then orders."""
+    """Base tables with the logs laid over them: catalogue, then history, then orders.
+
+    The current catalogue and the accepted events are written once; everything after reads those
+    instead of checking the logs again. Base orders and items are not copied.
+    """
     current = apply_catalog_events(tables, producer_events, product_events)
-    batches, _ = validate_history(current, history)
+    current = current.with_(producers=cut(current.producers), products=cut(current.products))
+    batches = cut(validate_history(current, history)[0])
     current = apply_history_events(current, batches)
-    accepted, _ = validate_order_events(current, orders)
+    accepted = cut(validate_order_events(current, orders)[0])
     return apply_order_events(current, accepted)
 
 
