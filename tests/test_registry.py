@@ -17,7 +17,8 @@ def test_every_survey_id_has_a_query_and_an_oracle():
     inventory = text[text.index("## 2."):text.index("### 2.15")]
     ids = {i for row in inventory.splitlines() if row.startswith("| `") for i in re.findall(r"`([a-z0-9_]+)`", row.split("|")[1])}
     assert ids and ids <= set(entry.queries())
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    trained = {name for name in entry.queries() if name == "pipeline" or re.match(r"op\d+_", name)}
+    assert set(entry.queries()) - trained == set(entry.oracle_sql()) - trained
 
 
 @pytest.mark.parametrize("name", FAST)
