@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

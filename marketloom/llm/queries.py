@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixture, shards, simhash
+from . import chunks, decontaminate, kneser_ney, mixture, preference, quality, shards, simhash, site_lines, toxicity
 from .common import table
 
 SHARDS = 40
@@ -13,15 +13,53 @@ def op1_stratified_shards(spark, sf):
     return shards.digest(table(spark, sf, "documents"), SHARDS)
 
 
+def op2_kneser_ney(spark, sf):
+    """Language-model scores of all documents, by a model of those not held out."""
+    return kneser_ney.digest(table(spark, sf, "documents"))
+
+
+def op3_preference_pairs(spark, sf):
+    """Every conversation with a reply, paired with the same conversation under another reply, as prompt and completions."""
+    return preference.digest(table(spark, sf, "conversations"))
+
+
+def op4_toxic_segments(spark, sf):
+    """Toxicity scores of all documents."""
+    return toxicity.digest(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op5_chunk_fingerprints(spark, sf):
+    """Chunk fingerprints of all documents and of their edited texts."""
+    return chunks.digest(table(spark, sf, "documents"))
+
+
+def op6_benchmark_leaks(spark, sf):
+    """All benchmark items that each document holds."""
+    return decontaminate.digest(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op7_pfair_mixture(spark, sf):
     """All documents in a mixture of sources by tempered target weights."""
     return mixture.mix(table(spark, sf, "documents").select("doc_id", "source")).select("doc_id", "source", "epoch", "slot", "position")
 
 
+def op8_quality_ftrl(spark, sf):
+    """Quality scores of all documents."""
+    return quality.digest(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op9_site_lines(spark, sf):
+    """All pages without their host's boilerplate lines."""
+    return site_lines.clean(table(spark, sf, "pages"))
+
+
 def op10_simhash_components(spark, sf):
     """Near-duplicate classes of all documents."""
     return simhash.digest(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_stratified_shards, op7_pfair_mixture, op10_simhash_components)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_stratified_shards, op2_kneser_ney, op3_preference_pairs, op4_toxic_segments, op5_chunk_fingerprints, op6_benchmark_leaks,
+    op7_pfair_mixture, op8_quality_ftrl, op9_site_lines, op10_simhash_components,
+)}
+ORACLE: dict[str, str] = {"op9_site_lines": site_lines.sql()}

@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, key: list[str], text: str = "text", words: int
             fps = np.fromiter((majority(shingle_hashes(texts[i].as_py(), words)) for i in range(batch.num_rows)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(key)], pa.array(fps.view(np.int64))], names=[*key, "fp"])
 
-    return docs.select(*key, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*key, F.col(text).alias("_whole")).mapInArrow(run, schema)
 
 
 def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
