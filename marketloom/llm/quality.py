@@ -80,9 +80,9 @@ def train(docs: DataFrame, sample: DataFrame, key: str = "doc_id", text: str = "
         return pa.table({"bucket": at.astype(np.int64), "w": w[at]})
 
     fitted = known.groupBy("replica").applyInArrow(fit, "bucket bigint, w double")
-    mean = fitted.groupBy("bucket").agg((F.sum("w") / REPLICAS).alias("w")).toPandas()
+    mean = fitted.groupBy("bucket").agg((F.sum("w") / REPLICAS).alias("w")).toArrow()
     out = np.zeros(BUCKETS)
-    out[mean["bucket"].to_numpy()] = mean["w"].to_numpy()
+    out[mean.column("bucket").to_numpy()] = mean.column("w").to_numpy()
     return out
 
 

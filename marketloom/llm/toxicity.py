@@ -61,7 +61,7 @@ def token_weights(counts: np.ndarray, prior_tokens: float = PRIOR_TOKENS) -> tup
     a drift, so that a token of which little is known counts slightly against a passage. The exponent solves
     E[exp(decay * score)] = 1 over clean text: the chance of a segment of score s falls as exp(-decay * s).
     """
-    every, toxic, clean = counts.astype(float)
+    every, toxic, clean = counts
     if toxic.sum() == 0 or clean.sum() == 0:
         return np.full(counts.shape[1], -DRIFT), 1.0
     prior = prior_tokens * (every + 1e-3) / (every + 1e-3).sum()
@@ -180,10 +180,11 @@ def train(docs: DataFrame, sample: DataFrame, key: str = "doc_id", text: str = "
     sums = tokens.groupBy("bucket").agg(
         F.count("*").alias("n"), F.count(F.when(F.col("_label") == 1, 1)).alias("toxic"), F.count(F.when(F.col("_label") == 0, 1)).alias("clean"),
     )
-    got = sums.toPandas()
-    counts = np.zeros((3, BUCKETS), np.int64)
+    got = sums.select("bucket", *[F.col(c).cast("double") for c in ("n", "toxic", "clean")]).toArrow()
+    counts = np.zeros((3, BUCKETS))
     for i, name in enumerate(("n", "toxic", "clean")):
-        counts[i, got["bucket"].to_numpy()] = got[name].to_numpy()
+        counts[i, got.column("bucket").to_numpy()] = got.column(name).to_numpy()
+    del got
     weights, decay = token_weights(counts)
     weights = weights.astype(np.float32)
     held = docs.sparkSession.sparkContext.broadcast(weights)
@@ -192,8 +193,8 @@ def train(docs: DataFrame, sample: DataFrame, key: str = "doc_id", text: str = "
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_evidence_of(batch.column(1), held.value, decay))], names=["y", "x"])
 
-    known = ids.join(seen, "_key").select(F.col("_label").alias("y"), "_ids").mapInArrow(run, "y int, x double").toPandas()
-    return Model(weights, decay, *calibrate(known["x"].to_numpy(), known["y"].to_numpy()))
+    known = ids.join(seen, "_key").select(F.col("_label").alias("y"), "_ids").mapInArrow(run, "y int, x double").toArrow()
+    return Model(weights, decay, *calibrate(known.column("x").to_numpy(), known.column("y").to_numpy()))
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
