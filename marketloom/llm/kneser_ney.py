@@ -114,6 +114,7 @@ class Model:
     type_discounts: tuple[float, float, float] = (0.0, 0.0, 0.0)
     pairs: int = 0
     rest: float = 1.0
+    with_pairs: np.ndarray | None = None
 
     @property
     def types(self) -> int:
@@ -128,12 +129,11 @@ class Model:
         out = np.full(len(hashes), NONE)
         edges = (np.arange(1, self.shards, dtype=np.uint64) << np.uint64(64 - self.bits)) if self.bits else np.zeros(0, np.uint64)
         ends = np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
-        for s in np.flatnonzero(ends[1:] > ends[:-1]):
+        for s in np.flatnonzero((ends[1:] > ends[:-1]) & (np.diff(self.offsets) > 0)):
             known, asked = self.store.read(f"hashes-{s}"), hashes[ends[s]: ends[s + 1]]
-            if len(known):
-                at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-                hit = known[at] == asked
-                out[ends[s]: ends[s + 1]][hit] = at[hit] + self.offsets[s]
+            at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+            hit = known[at] == asked
+            out[ends[s]: ends[s + 1]][hit] = at[hit] + self.offsets[s]
         return out
 
     def by_type(self, name: str, ids: np.ndarray) -> np.ndarray:
@@ -153,12 +153,11 @@ class Model:
         out = np.zeros(len(keys))
         edges = np.searchsorted(keys >> np.int64(32), self.offsets[1:-1])
         ends = np.concatenate(([0], edges, [len(keys)]))
-        for s in np.flatnonzero(ends[1:] > ends[:-1]):
+        for s in np.flatnonzero((ends[1:] > ends[:-1]) & self.with_pairs):
             known, asked = self.store.read(f"pairs-{s}"), keys[ends[s]: ends[s + 1]]
-            if len(known):
-                at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-                hit = known[at] == asked
-                out[ends[s]: ends[s + 1]][hit] = self.store.read(f"pair_counts-{s}")[at[hit]]
+            at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+            hit = known[at] == asked
+            out[ends[s]: ends[s + 1]][hit] = self.store.read(f"pair_counts-{s}")[at[hit]]
         return out
 
 
@@ -314,7 +313,7 @@ def _count_pairs(texts: DataFrame, model: Model) -> Model:
         n = _histogram(counts)
         # the first row also tells how often each count occurs
         numbers = {f"n{i + 1}": pa.array([n[i], *none[1:]], pa.int64()) for i in range(4)}
-        return pa.table({"shard": pa.array(told["shard"], pa.int32()), "keys": pa.array(told["keys"], pa.binary()), "counts": pa.array(told["counts"], pa.binary()), **numbers})
+        return pa.table({"first_shard": pa.array([s] * len(told["shard"]), pa.int32()), "shard": pa.array(told["shard"], pa.int32()), "keys": pa.array(told["keys"], pa.binary()), "counts": pa.array(told["counts"], pa.binary()), **numbers})
 
     def merge_seconds(part: pa.Table) -> pa.Table:
         ids, counts = _merged(part, np.int64)
@@ -325,7 +324,8 @@ def _count_pairs(texts: DataFrame, model: Model) -> Model:
         return pa.table(_sums(part, len(ids), int(counts.sum()), _histogram(counts)))
 
     pairs = texts.mapInArrow(gather, DEALT)
-    told = cut(pairs.groupBy("shard").applyInArrow(merge, DEALT + ", n1 bigint, n2 bigint, n3 bigint, n4 bigint"))
+    told = cut(pairs.groupBy("shard").applyInArrow(merge, "first_shard int, " + DEALT + ", n1 bigint, n2 bigint, n3 bigint, n4 bigint"))
+    model.with_pairs = np.isin(np.arange(model.shards), [r[0] for r in told.select("first_shard").distinct().collect()])
     n = told.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)) for i in range(1, 5)]).first()
     model.pair_discounts = discounts(np.array(list(n)))
     got = told.select("shard", "keys", "counts").groupBy("shard").applyInArrow(merge_seconds, SUMS).collect()
@@ -371,15 +371,9 @@ def token_scores(hashes: list[np.ndarray], model: Model) -> tuple[np.ndarray, np
     firsts, back = np.unique(first[seen_first], return_inverse=True)
     totals, kept = np.zeros(len(firsts)), np.zeros(len(firsts))
     ends = np.concatenate(([0], np.searchsorted(firsts, model.offsets[1:-1]), [len(firsts)]))
-    for s in np.flatnonzero(ends[1:] > ends[:-1]):
-        if model.pairs == 0:
-            break
+    for s in np.flatnonzero((ends[1:] > ends[:-1]) & model.with_pairs):
         mine = firsts[ends[s]: ends[s + 1]] - model.offsets[s]
-        try:
-            n = model.store.read(f"followers-{s}")[:, mine]
-        except FileNotFoundError:  # a shard without types has no pairs either
-            continue
-        kept[ends[s]: ends[s + 1]] = np.array(model.pair_discounts) @ n
+        kept[ends[s]: ends[s + 1]] = np.array(model.pair_discounts) @ model.store.read(f"followers-{s}")[:, mine]
     totals[firsts < model.types] = model.by_type("counts", firsts[firsts < model.types])
     if len(firsts) and firsts[-1] == model.types:
         totals[-1] = model.by_type("counts", model.find(np.array([END], np.uint64))).sum() if model.types else 0  # one start for each end

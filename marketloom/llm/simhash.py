@@ -20,6 +20,11 @@ SEED = 42
 PART_ROWS = 500_000
 #: Members of a class that link to the same member, so that no row of the link table has many partners.
 BRANCH = 32
+#: Words of a shingle and independent fingerprints of a text when near copies are dropped.
+COPY_WORDS = 2
+TABLES = 8
+#: One odd multiplier for each further fingerprint.
+MULTIPLIERS = np.array([xxhash.xxh64_intdigest(bytes([t])) | 1 for t in range(TABLES)], np.uint64)
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -46,6 +51,33 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
+def majorities(hashes: np.ndarray) -> np.ndarray:
+    """TABLES fingerprints of one list of hashes: each mixes the hashes anew, and takes the majority of every bit."""
+    ones = np.zeros((TABLES, 64), np.int64)
+    for at in range(0, len(hashes), 8_192):
+        m = hashes[None, at: at + 8_192] * MULTIPLIERS[:, None]
+        m = (m ^ (m >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        bits = np.unpackbits((m ^ (m >> np.uint64(32))).astype(">u8").view(np.uint8).reshape(TABLES, -1, 8), axis=2)
+        ones += bits.sum(axis=1, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), axis=1).view(">u8").astype(np.uint64).ravel()
+
+
+def many_fingerprints(docs: DataFrame, key: list[str], text: str, words: int) -> DataFrame:
+    """(key columns, fps): TABLES independent SimHashes of each whole text over runs of ``words`` words."""
+    types = {f.name: f for f in docs.schema}
+    schema = ", ".join(f"`{k}` {types[k].dataType.simpleString()}" for k in key) + ", fps array<bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(len(key))
+            fps = [majorities(shingle_hashes(texts[i].as_py(), words)).view(np.int64) for i in range(batch.num_rows)]
+            flat = np.concatenate(fps) if fps else np.zeros(0, np.int64)
+            arrays = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * TABLES), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(key)], arrays], names=[*key, "fps"])
+
+    return docs.select(*key, F.col(text).alias("_whole")).mapInArrow(run, schema)
+
+
 def fingerprints(docs: DataFrame, key: list[str], text: str = "text", words: int = WORDS) -> DataFrame:
     """(key columns, fp): the SimHash of each whole text as a signed long. Null text: no words. No words: zero."""
     types = {f.name: f for f in docs.schema}
@@ -159,7 +191,7 @@ def _rotate(x: np.ndarray, by: np.ndarray) -> np.ndarray:
 
 
 def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) that chain together all that are within ``radius`` bits.
+    """Links (t, a, b) between distinct fingerprints (t, fp) that chain together all of one t that are within ``radius`` bits.
 
     The 64 bits are cut into radius + 1 blocks: two fingerprints within the radius agree in one of them. So each
     fingerprint goes to one bucket for each block, rotated so that the block comes first, and a bucket is the part of a
@@ -172,7 +204,7 @@ def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
     spread = F.posexplode(F.array(*[
         F.shiftrightunsigned(F.shiftleft("fp", s), 64 - w) for s, w in zip(shifts, widths)
     ])).alias("block", "value")
-    rows = fps.select("fp", spread)
+    rows = fps.select("fp", "t", spread).select("fp", (F.col("t") * (radius + 1) + F.col("block")).cast("int").alias("block"), "value")
     hot = cut(rows.groupBy("block", "value").agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows).select(
         "block", "value", F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")
     ))
@@ -186,13 +218,15 @@ def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
     offsets = np.array(shifts, np.uint64)
 
     def solve(fp: np.ndarray, block: np.ndarray, same: np.ndarray) -> pa.RecordBatch:
-        turned = _rotate(fp, offsets[block])
+        turned = _rotate(fp, offsets[block % (radius + 1)])
         order = np.lexsort((turned, np.cumsum(same)))
         fp, turned, first = fp[order], turned[order], same
         repeat = np.concatenate(([False], (turned[1:] == turned[:-1]) & ~first[1:]))
-        fp, turned, first = fp[~repeat], turned[~repeat], first[~repeat]
+        fp, turned, first, t = fp[~repeat], turned[~repeat], first[~repeat], (block // (radius + 1))[~repeat]
         a, b = tree_links(trie_classes(turned, first, radius))
-        return pa.RecordBatch.from_arrays([pa.array(fp[a].view(np.int64)), pa.array(fp[b].view(np.int64))], names=["a", "b"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(t[a].astype(np.int32)), pa.array(fp[a].view(np.int64)), pa.array(fp[b].view(np.int64))], names=["t", "a", "b"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come bucket by bucket; whole buckets are solved together, some hundred thousand rows at a time."""
@@ -221,7 +255,7 @@ def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
     bucket = ["block", "value", "x", "y"]
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = dealt.repartition(parts, *bucket).sortWithinPartitions(*bucket)
-    return placed.mapInArrow(run, "a bigint, b bigint").distinct()
+    return placed.mapInArrow(run, "t int, a bigint, b bigint").distinct()
 
 
 def components(links_: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -255,7 +289,7 @@ def near_duplicates(
     """
     marked = cut(fingerprints(docs, [key, *extra], text, words))
     nodes = cut(marked.groupBy("fp").agg(F.min(key).alias("first"), F.count("*").alias("_copies")))
-    found = components(links(nodes.select("fp"), radius), nodes)
+    found = components(links(nodes.select("fp", F.lit(0).alias("t")), radius), nodes)
     labels = nodes.select("fp", "first").join(found, "fp", "left").select("fp", F.coalesce("label", "first").alias("component"))
     return marked.join(labels, "fp").select(key, *extra, "fp", "component")
 
@@ -265,17 +299,41 @@ def digest(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each near-duplicate class: the one with the smallest key.
+def text_classes(docs: DataFrame, key: str, text: str, words: int = COPY_WORDS, radius: int = RADIUS) -> DataFrame:
+    """(text column, first, label): for each distinct text hash its smallest key and the smallest key of its class.
+
+    Near copies that differ in one word of fifty have 64-bit SimHashes some 6 bits apart, beyond the reach of an exact
+    search in four bits. So a text gets TABLES independent SimHashes over pairs of words, each is joined with itself in
+    its own tries, and two texts are linked if any of their fingerprints lie within ``radius`` bits.
+    """
+    marked = many_fingerprints(docs, [key, text + "_id"], text, words)
+    nodes = cut(marked.groupBy(F.col(text + "_id").alias("node")).agg(F.min(key).alias("first"), F.first("fps").alias("fps")))
+    placed = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
+    shared = cut(placed.groupBy("t", "fp").agg(F.min("node").alias("rep"), F.count("*").alias("texts")))
+    found = links(shared.select("t", "fp"), radius)
+    side = lambda c: shared.select("t", F.col("fp").alias(c), F.col("rep").alias("rep_" + c))
+    near = found.join(side("a"), ["t", "a"]).join(side("b"), ["t", "b"]).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    equal = placed.join(shared.filter("texts > 1"), ["t", "fp"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    edges = near.union(equal).filter("a <> b").distinct()
+    labels = components(edges, nodes.select(F.col("node").alias("fp"), "first"))
+    return nodes.select("node", "first").join(labels.withColumnRenamed("fp", "node"), "node", "left").select(
+        "node", "first", F.coalesce("label", "first").alias("label")
+    )
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = COPY_WORDS, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each class of near copies (``text_classes``): the one with the smallest key.
 
     Rows that share the key and the text are one document, of which one row stays. Rows without a key stay, one for
-    each text, unless their class has a key. All columns pass through.
+    each text, unless their class has a key. A null text is an empty one, and empty texts are one class. All columns
+    pass through.
     """
     own = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
     key, text = own[key], own[text]
-    df = docs.toDF(*own.values()).withColumn("_text", F.xxhash64(text))
-    classes = near_duplicates(df, key, text, words, radius, extra=("_text",))
-    keep = classes.filter(F.col(key).eqNullSafe(F.col("component"))).select(key, "_text").distinct()
-    kept = null_safe_join(df, keep, [key, "_text"], "left_semi")
-    once = F.row_number().over(Window.partitionBy(key, "_text").orderBy(*[F.col(c) for c in own.values() if c not in (key, text)]))
+    same = f"{text}_id"
+    df = docs.toDF(*own.values()).withColumn(same, F.xxhash64(F.coalesce(text, F.lit(""))))
+    classes = text_classes(df, key, text, words, radius)
+    keep = cut(classes.filter(F.col("first").eqNullSafe(F.col("label"))).select(F.col("first").alias(key), F.col("node").alias(same)))
+    kept = null_safe_join(df, keep, [key, same], "left_semi")
+    once = F.row_number().over(Window.partitionBy(key, same).orderBy(*[F.col(c) for c in own.values() if c not in (key, text)]))
     return kept.withColumn("_once", once).filter("_once = 1").select(*[F.col(v).alias(k) for k, v in own.items()])
