@@ -26,10 +26,10 @@ def shard(
     Ranks need one shuffle by (stratum, random bucket), the global order one by fractional bucket; the offset of a
     fractional bucket follows from the counts alone. No task holds a stratum. A null stratum is a stratum, a null key
     is an empty one. Rows that share a key are ordered by ``ties``; wholly equal rows are interchangeable. An empty
-    table gives an empty table. Other columns pass through, but none may be named shard, slot, n, rank or start
-    with an underscore: such names are renamed while the operator runs.
+    table gives an empty table. Other columns pass through under any name, but for shard and slot, which are replaced.
     """
     own = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    out = [c for c in docs.columns if c not in ("shard", "slot")]
     key, stratum, ties = own[key], own[stratum], tuple(own[t] for t in ties)
     df = docs.toDF(*own.values())
     counts = strata(df, stratum)
@@ -50,7 +50,7 @@ def shard(
     cut_at = at.withColumn("_shard", F.expr(f"(_at * {shards}) div {max(total, 1)}").cast("int"))
     first = F.expr(f"(_shard * CAST({total} AS BIGINT) + {shards - 1}) div {shards}")
     return cut_at.select(
-        *[F.col(v).alias(k) for k, v in own.items()], F.col("_shard").alias("shard"), (F.col("_at") - first).alias("slot"),
+        *[F.col(own[c]).alias(c) for c in out], F.col("_shard").alias("shard"), (F.col("_at") - first).alias("slot"),
     )
 
 

@@ -58,6 +58,7 @@ def test_clashing_columns_pass_through(spark):
     docs = awkward(spark)
     for name in ("n", "rank", "_bucket", "_start", "_order"):
         docs = docs.withColumn(name, docs["n_chars"])
+    assert shards.shard(docs.withColumn("slot", docs["n_chars"]), 2).columns == [*docs.columns, "shard", "slot"]
     out = shards.shard(docs, 2, ties=("text",))
     assert out.columns == [*docs.columns, "shard", "slot"] and out.count() == 11
 
