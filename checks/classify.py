@@ -195,7 +195,7 @@ view(
         CASE WHEN event_id % 4 = 1 THEN 'A' END AS producer_override_grade,
         CASE WHEN {K} % 3 = 0 THEN true WHEN {K} % 3 = 1 THEN false END AS accepted,
         CASE WHEN event_id % 12 = 0 THEN 'manual' END AS model_name,
-        CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 7 = 1 THEN 'someday soon' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS created_at, ts
+        CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 7 = 1 THEN 'someday soon' WHEN event_id % 7 = 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+09:00' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS created_at, ts
         FROM events WHERE event_type IN ('purchase', 'error')""",
 )
 EMPTY = "nullif({}, '')"
@@ -207,7 +207,7 @@ def first_non_empty(spark, sf):
     return f.select("seq", C.first_non_empty(F.col("corrected_class"), F.col("producer_override_class")).alias("value"))
 
 
-DAY = "CASE WHEN nullif({c}, '') IS NULL THEN 'unknown' WHEN try_cast({c} AS TIMESTAMP) IS NOT NULL THEN strftime(try_cast({c} AS TIMESTAMP), '%Y-%m-%d') ELSE substr({c}, 1, 10) END"
+DAY = "coalesce(substr(nullif({c}, ''), 1, 10), 'unknown')"
 
 
 @register("event_day", query(f"SELECT seq, {DAY.format(c='created_at')} AS day FROM feedback", "feedback"))
@@ -223,7 +223,7 @@ def parse_top_k(spark, sf):
 
 
 VECTORS = """SELECT vec_id, label, i - 1 AS i, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM
-    (SELECT vec_id, label, i, exp(embedding[i]::DOUBLE * 20.0::DOUBLE) AS e FROM embeddings, generate_series(1, 10) g(i))"""
+    (SELECT vec_id, label, i, exp(embedding[i]::DOUBLE * 20.0::DOUBLE) AS e FROM embeddings, generate_series(1, 64) g(i))"""
 
 
 @register("top_k_from_vector", query(f"""SELECT vec_id, 'C' || max(label) AS class_name, max(CASE WHEN rn = 1 THEN 'C' || i END) AS predicted_class, {r('max(CASE WHEN rn = 1 THEN p END)')} AS confidence,
@@ -231,7 +231,7 @@ VECTORS = """SELECT vec_id, label, i - 1 AS i, e / sum(e) OVER (PARTITION BY vec
     (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, i) AS rn FROM ({VECTORS})) WHERE rn <= 3 GROUP BY vec_id"""))
 def top_k_from_vector(spark, sf):
     v = star.probability_vectors(spark, sf)
-    k = v.select("vec_id", "class_name", Bz.top_k_from_vector(F.col("probabilities"), [f"C{i}" for i in range(10)], 3).alias("k"))
+    k = v.select("vec_id", "class_name", Bz.top_k_from_vector(F.col("probabilities"), [f"C{i}" for i in range(64)], 3).alias("k"))
     first = F.get("k", F.lit(0))
     return k.select(
         "vec_id", "class_name", first["class_name"].alias("predicted_class"), round6(first["probability"]).alias("confidence"),

@@ -36,7 +36,7 @@ def tables(spark: SparkSession, sf: str):
 
 # --- catalogue views -----------------------------------------------------------------------------
 
-HOUR = "strftime(ts, '%Y-%m-%dT%H:00:00')"
+HOUR = "strftime(ts, '%Y-%m-%dT%H:00:00') || CASE WHEN event_id % 3 = 0 THEN '' ELSE '.' || (event_id % 9 + 1) || '00000' END"
 view(
     "pe",
     f"""SELECT event_id AS seq, CASE WHEN event_id % 13 = 0 AND event_id % 4 = 0 THEN 'producer_removed' ELSE 'producer_upserted' END AS event_type, user_id AS producer_id,
@@ -259,7 +259,7 @@ view(
 )
 view(
     "ho",
-    f"""SELECT event_id AS seq, i AS pos, CASE WHEN event_id % 19 = 0 AND i = 1 THEN event_id % 1000 ELSE 20000000 + event_id * 2 + i * (event_id % 23 <> 0)::INT END::BIGINT AS order_id,
+    f"""SELECT event_id AS seq, i AS pos, CASE WHEN event_id % 19 = 0 AND i = 1 THEN event_id % 1000 WHEN event_id % 4 = 0 THEN 30000000 + event_id % 50 + i ELSE 20000000 + event_id * 2 + i * (event_id % 23 <> 0)::INT END::BIGINT AS order_id,
         CASE WHEN event_id % 29 = 0 AND i = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d') END AS order_date, CASE WHEN event_id % 2 = 0 THEN value END AS given,
         CASE WHEN event_id % 31 = 0 AND i = 1 THEN -7 ELSE (event_id * 13 + i) % 200 END::BIGINT AS product_id, ({K} % 4 + 1)::DOUBLE AS quantity FROM events, generate_series(0, 1) g(i) WHERE event_type = 'signup'""",
 )
@@ -272,10 +272,19 @@ view(
     "ho", "hb", "m_orders", "m_customers", "m_products",
 )
 view(
-    "hb_checked",
+    "hb_own",
     """SELECT seq, coalesce(arg_min(reason, pos) FILTER (reason IS NOT NULL), CASE WHEN count(DISTINCT order_id) < count(*) THEN 'duplicate order_id' END) AS reject_reason FROM ho_checked GROUP BY seq""",
     "ho_checked",
 )
+# One batch after another: a batch is accepted if none of its orders came with an accepted one before.
+view(
+    "hb_checked",
+    """WITH RECURSIVE cand AS (SELECT seq, row_number() OVER (ORDER BY seq) AS rn, list(order_id) AS ids FROM ho_checked WHERE seq IN (SELECT seq FROM hb_own WHERE reject_reason IS NULL) GROUP BY seq),
+        walk AS (SELECT 0::BIGINT AS rn, NULL::BIGINT AS seq, true AS ok, []::BIGINT[] AS taken UNION ALL
+            SELECT c.rn, c.seq, NOT list_has_any(w.taken, c.ids), CASE WHEN list_has_any(w.taken, c.ids) THEN w.taken ELSE list_concat(w.taken, c.ids) END FROM walk w JOIN cand c ON c.rn = w.rn + 1)
+        SELECT o.seq, coalesce(o.reject_reason, CASE WHEN NOT w.ok THEN 'duplicate order_id' END) AS reject_reason FROM hb_own o LEFT JOIN walk w ON w.seq = o.seq""",
+    "ho_checked", "hb_own",
+)
 view("ho_valid", "SELECT * FROM ho_checked WHERE seq IN (SELECT seq FROM hb_checked WHERE reject_reason IS NULL)", "ho_checked", "hb_checked")
 
 

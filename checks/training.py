@@ -26,7 +26,6 @@ def register(name: str, oracle: str | None = None):
 
 
 ROOT = "/data/fruit"
-TARGET = 180
 
 view(
     "paths",
@@ -138,7 +137,7 @@ def split_counts(spark, sf):
 view(
     "oversampled",
     f"""SELECT relative_path, class_name, 0 AS copy FROM listing UNION ALL SELECT x.relative_path, x.class_name, d.copy FROM
-        (SELECT class_name, c::INTEGER AS copy, ('0x' || substr(md5('42|' || class_name || '|' || c), 1, 8))::BIGINT % n + 1 AS rn FROM counts, generate_series(1, {TARGET}) g(c) WHERE n + c <= {TARGET}) d
+        (SELECT class_name, c::INTEGER AS copy, ('0x' || substr(md5('42|' || class_name || '|' || c), 1, 8))::BIGINT % n + 1 AS rn FROM counts, unnest(generate_series(1, (SELECT max(n) FROM counts) - n)) g(c)) d
         JOIN (SELECT *, row_number() OVER (PARTITION BY class_name ORDER BY {HASH.format(k='relative_path')}, relative_path) AS rn FROM listing) x ON x.class_name = d.class_name AND x.rn = d.rn""",
     "listing", "counts",
 )
@@ -146,14 +145,14 @@ view(
 
 @register("targeted_oversample", query("SELECT relative_path, class_name, copy, md5('42|' || relative_path || '|' || copy) AS shuffle_key FROM oversampled", "oversampled"))
 def targeted_oversample(spark, sf):
-    return Sp.targeted_oversample(listing(spark, sf), TARGET, "relative_path").select("relative_path", "class_name", "copy", "shuffle_key")
+    return Sp.targeted_oversample(listing(spark, sf), None, "relative_path").select("relative_path", "class_name", "copy", "shuffle_key")
 
 
 @register("oversample_summary", query(f"""SELECT class_name, n AS before_count, a AS after_count, a - n AS added_rows, {r('a / n', 2)} AS ratio FROM counts
     JOIN (SELECT class_name, count(*) AS a FROM oversampled GROUP BY 1) USING (class_name)""", "counts", "oversampled"))
 def oversample_summary(spark, sf):
     before = listing(spark, sf)
-    return Sp.oversample_summary(before, Sp.targeted_oversample(before, TARGET, "relative_path"))
+    return Sp.oversample_summary(before, Sp.targeted_oversample(before, None, "relative_path"))
 
 
 @register("sample_per_class", query(f"""SELECT relative_path, class_name, (row_number() OVER (PARTITION BY class_name ORDER BY {HASH.format(k='relative_path')}, relative_path))::INTEGER AS sample_rank FROM listing

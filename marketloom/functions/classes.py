@@ -113,7 +113,5 @@ def event_time(text: Column) -> Column:
 
 
 def event_day(text: Column) -> Column:
-    """Date of an ISO time, else the first ten characters, else ``unknown``."""
-    filled = F.nullif(text, F.lit(""))
-    day = F.date_format(F.try_to_timestamp(filled), "yyyy-MM-dd")
-    return F.coalesce(day, F.substring(filled, 1, 10), F.lit("unknown"))
+    """The day as it is written: the first ten characters, whatever the time's offset; ``unknown`` for none."""
+    return F.coalesce(F.substring(F.nullif(text, F.lit("")), 1, 10), F.lit("unknown"))

@@ -8,12 +8,19 @@ from pyspark.sql import functions as F
 from ..sources.tables import Tables
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
+ISO_FRACTION = ISO + ".SSSSSS"
 
 
 def _text(name: str) -> Column:
     return F.trim(F.col(name).cast("string"))
 
 
+def trimmed_ids(df: DataFrame, *names: str) -> DataFrame:
+    """Ids that are text without blanks at their ends; other ids as they are."""
+    text = [n for n in names if df.schema[n].dataType.simpleString() == "string"]
+    return df.withColumns({n: F.trim(F.col(n)) for n in text})
+
+
 def _blank(name: str) -> Column:
     return F.coalesce(_text(name) == "", F.lit(True))
 
@@ -27,7 +34,9 @@ def first_reason(*rules: tuple[Column, str]) -> Column:
 
 
 def _iso_time() -> Column:
-    return F.date_format(F.try_to_timestamp(F.col("created_at")), ISO)
+    """The time as ISO text, with microseconds if it has a fraction of a second."""
+    time = F.try_to_timestamp(F.col("created_at"))
+    return F.when(F.unix_micros(time) % 1_000_000 == 0, F.date_format(time, ISO)).otherwise(F.date_format(time, ISO_FRACTION))
 
 
 def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -42,7 +51,7 @@ def normalise_producer_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
         (F.try_to_timestamp(F.col("created_at")).isNull(), "invalid created_at"),
         (_blank("producer_id") | _blank("producer_name") | _blank("postcode_area") | _blank("source"), "empty required field"),
     )
-    valid, rejected = _split(events.withColumn("reject_reason", reason))
+    valid, rejected = _split(trimmed_ids(events, "producer_id").withColumn("reject_reason", reason))
     categories = F.filter(F.transform(F.coalesce("categories", F.array().cast("array<string>")), lambda c: F.trim(c)), lambda c: c != "")
     return (
         valid.select(
@@ -65,6 +74,7 @@ def normalise_product_events(events: DataFrame, producers: DataFrame | None = No
         (F.try_to_timestamp(F.col("created_at")).isNull(), "invalid created_at"),
         (F.coalesce(F.col("price") < 0, F.lit(True)), "invalid price"),
     ]
+    events = trimmed_ids(events, "producer_id", "product_id")
     if producers is not None:
         known = producers.select("producer_id").distinct().withColumn("_known", F.lit(True))
         events = events.join(known, "producer_id", "left")

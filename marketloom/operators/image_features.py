@@ -40,9 +40,6 @@ WARN_COLOUR = "colour_score_is_lighting_sensitive_proxy"
 WARN_SMALL = "low_foreground_coverage"
 WARN_LARGE = "high_foreground_coverage_or_background_mask_noise"
 
-#: Longest side kept; larger images are sampled at a whole-number stride.
-MAX_SIDE = 512
-
 PROFILE_SCHEMA = (
     "profile string, hue_ranges array<struct<lo:double,hi:double>>, dark_ratio_warn double,"
     " dark_ratio_fail double, min_saturation double, min_value double, max_value double"
@@ -65,12 +62,11 @@ def profile_key(product_type: Column) -> Column:
 def quality_profile_join(rows: DataFrame, profiles: DataFrame) -> DataFrame:
     """Adds the profile of each product type, or the default one, and ``profile_known``.
 
-    The profile table is a fixed handful of rows, so it is always broadcast; the default row comes
-    from a scalar subquery, so there is no second join.
+    The default row comes from a scalar subquery, so there is no second join.
     """
     values = [c for c in profiles.columns if c != "profile"]
     default = profiles.filter("profile = 'default'").select(F.struct(*values)).scalar()
-    table = F.broadcast(profiles.select(F.col("profile").alias("_key"), F.struct(*values).alias("_own")))
+    table = profiles.select(F.col("profile").alias("_key"), F.struct(*values).alias("_own"))
     joined = rows.join(table, profile_key(F.col("product_type")) == F.col("_key"), "left")
     joined = joined.withColumn("profile_known", F.col("_key").isNotNull()).withColumn("_used", F.coalesce("_own", default))
     return joined.select(*rows.columns, "profile_known", *[F.col(f"_used.{v}").alias(v) for v in values])
@@ -98,8 +94,6 @@ def hsv(red: Column, green: Column, blue: Column) -> Column:
 
 def _measure(rgb: np.ndarray, ranges: list, dark_warn: float, min_s: float, min_v: float, max_v: float) -> tuple:
     """Ratios and scores of one image (height x width x 3, values 0..1)."""
-    stride = max(1, -(-max(rgb.shape[:2]) // MAX_SIDE))
-    rgb = rgb[::stride, ::stride]
     red, green, blue = rgb[..., 0], rgb[..., 1], rgb[..., 2]
     value = rgb.max(axis=-1)
     delta = value - rgb.min(axis=-1)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
 from ..sources.tables import Tables
-from .catalog import _blank, first_reason
+from ..session import cut
+from .catalog import _blank, first_reason, trimmed_ids
 
 ORDER_SOURCE = "order_event"
 HISTORY_SOURCE = "history_backfill"
@@ -19,6 +20,11 @@ def order_total(total: Column, items: Column) -> Column:
     return F.coalesce(total, round_to(summed, 2))
 
 
+def written_date(name: str) -> Column:
+    """The date as it is written; an offset of the time does not move it."""
+    return F.when(F.try_to_timestamp(F.col(name)).isNotNull(), F.coalesce(F.try_to_date(F.substring(F.col(name).cast("string"), 1, 10)), F.to_date(F.try_to_timestamp(F.col(name)))))
+
+
 def _known(df: DataFrame, key: str, mark: str) -> DataFrame:
     return df.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(mark, F.lit(True))
 
@@ -29,6 +35,7 @@ def order_checks(tables: Tables, events: DataFrame, log_ids: DataFrame | None) -
     Known ids are matched by equi-joins. Items are exploded once for the product check and reduced
     to the events that hold an unknown one.
     """
+    events = trimmed_ids(events, "order_id", "customer_id")
     known_orders = tables.orders.select("order_id")
     if log_ids is not None:
         known_orders = known_orders.unionByName(log_ids.select("order_id"))
@@ -83,7 +90,7 @@ def normalise_order_events(events: DataFrame, source: str = ORDER_SOURCE) -> Dat
     """Dates as dates, the default total and the default source."""
     return events.select(
         "seq", "order_id", "customer_id", "customer_type", "postcode_area",
-        F.to_date(F.try_to_timestamp(F.col("order_date"))).alias("order_date"),
+        written_date("order_date").alias("order_date"),
         order_total(F.col("total_amount"), F.col("items")).alias("total_amount"),
         "items",
         F.coalesce("source", F.lit(source)).alias("source"),
@@ -100,11 +107,31 @@ def flatten_history(batches: DataFrame) -> DataFrame:
     )
 
 
+def _late_batches(claims: DataFrame) -> DataFrame:
+    """Batches (seq) that lose an order to an earlier accepted batch; ``claims`` holds (seq, order_id).
+
+    In rounds: batches that come first for all their orders are accepted, batches that share an order with those are
+    late, and the others go into the next round. The earliest batch left is accepted in every round. Each round is
+    joins and minima, and is written once.
+    """
+    left = cut(trimmed_ids(claims, "order_id").distinct())
+    late = left.select("seq").limit(0)
+    while not left.isEmpty():
+        first = left.groupBy("order_id").agg(F.min("seq").alias("_first"))
+        wins = left.join(first, "order_id").groupBy("seq").agg(F.min(F.col("seq") == F.col("_first")).alias("_wins"))
+        accepted = cut(wins.filter("_wins").select("seq"))
+        taken = left.join(accepted, "seq", "left_semi").select("order_id")
+        lost = cut(left.join(accepted, "seq", "left_anti").join(taken, "order_id", "left_semi").select("seq").distinct())
+        late = late.union(lost)
+        left = cut(left.join(accepted, "seq", "left_anti").join(lost, "seq", "left_anti"))
+    return late
+
+
 def validate_history(tables: Tables, batches: DataFrame, log_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted batches, rejected batches with a reason). One bad order rejects its whole batch.
 
-    An order is checked against the tables and both logs. Within the input the earliest batch that
-    is otherwise acceptable keeps an order id.
+    An order is checked against the tables and both logs. Within the input, one batch after another, a batch is
+    rejected if an accepted earlier batch brought one of its orders; a rejected batch claims none.
     """
     orders = flatten_history(batches)
     checked = order_checks(tables, orders, log_ids)
@@ -121,10 +148,8 @@ def validate_history(tables: Tables, batches: DataFrame, log_ids: DataFrame | No
     joined = batches.join(per_batch, "seq", "left")
     reason = F.coalesce(own, F.col("order_reason"), F.when(F.col("_ids") < F.col("_orders"), F.lit("duplicate order_id")))
     judged = joined.withColumn("reject_reason", reason).drop("order_reason", "_orders", "_ids")
-    # Batches that would bring an order another accepted, earlier batch already brought.
     good = flatten_history(judged.filter(F.col("reject_reason").isNull()))
-    first = good.groupBy("order_id").agg(F.min("seq").alias("_first"))
-    late = good.join(first, "order_id").filter(F.col("seq") > F.col("_first")).select(F.col("seq.batch").alias("seq")).distinct()
+    late = _late_batches(good.select(F.col("seq.batch").alias("seq"), "order_id"))
     judged = judged.join(late.withColumn("_late", F.lit(True)), "seq", "left")
     judged = judged.withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("_late"), F.lit("duplicate order_id")))).drop("_late")
     ok = F.col("reject_reason").isNull()

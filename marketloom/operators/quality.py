@@ -106,13 +106,20 @@ def quality_decision(rows: DataFrame, weights: Column | None = None) -> DataFram
     ``feature_warnings``; ``profile_known`` tells whether the product has its own quality profile.
     """
     weights = F.array(*[F.lit(w) for w in DEFAULT_WEIGHTS]) if weights is None else weights
-    scored = quality_components(rows).withColumn("overall_quality_score", overall_score(weights))
+    return _decided(_scored(rows).withColumn("overall_quality_score", overall_score(weights)))
+
+
+def _scored(rows: DataFrame) -> DataFrame:
+    """What does not depend on weights: components, warnings and the top-k conflict."""
     profile = F.when(~F.col("profile_known"), F.lit(UNKNOWN_PROFILE))
     warnings = F.array_distinct(
         F.concat(F.array_compact(F.array(profile)), F.coalesce("feature_warnings", F.array().cast("array<string>")), F.array(F.lit(RULE_WARNING)))
     )
-    scored = scored.withColumn("warnings", warnings).withColumn("_conflict", condition_conflict(rows))
+    return quality_components(rows).withColumn("warnings", warnings).withColumn("_conflict", condition_conflict(rows))
+
 
+def _decided(scored: DataFrame) -> DataFrame:
+    """Grade, action and reasons from the components and the overall score."""
     col = F.col
     healthy, rotten = col("condition") == "healthy", col("condition") == "rotten"
     unknown = F.coalesce(~(healthy | rotten), F.lit(True))
@@ -196,8 +203,8 @@ def evaluate_weight_sets(rows: DataFrame, weight_sets: dict[str, list[float]] |
     """
     sets = weight_sets or WEIGHT_SETS
     literal = F.array(*[F.struct(F.lit(n).alias("name"), F.array(*[F.lit(float(w)) for w in ws]).alias("w")) for n, ws in sets.items()])
-    spread = rows.withColumn("_set", F.explode(literal))
-    decided = quality_decision(spread, F.col("_set.w")).withColumn("weight_set", F.col("_set.name"))
+    spread = _scored(rows).withColumn("_set", F.explode(literal))
+    decided = _decided(spread.withColumn("overall_quality_score", overall_score(F.col("_set.w")))).withColumn("weight_set", F.col("_set.name"))
     uncertain = (F.col("confidence") < LOW_CONFIDENCE) | F.coalesce(F.col("top1_top2_margin") < LOW_MARGIN, F.lit(False))
     rotten, good = F.col("condition") == "rotten", F.col("grade").isin("A", "B")
     per_action = decided.groupBy("weight_set", "action").agg(

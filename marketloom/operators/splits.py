@@ -12,6 +12,7 @@ from ..functions.numbers import flag, ratio, round_to
 from .ranking import ranked, top_k
 
 SEED = 42  # fixed value
+DRAWS = 10_000  # draws that one row stands for until they are dealt out
 SPLITS = ["train", "val", "test"]
 RATIOS = (0.70, 0.15, 0.15)  # fixed values
 GROUPED_RATIOS = (4 / 6, 1 / 6, 1 / 6)  # one of three outer folds held out, halved
@@ -136,19 +137,25 @@ def split_counts(df: DataFrame, class_column: str = "class_name") -> DataFrame:
 
 
 def targeted_oversample(
-    df: DataFrame, target: int, key: str, class_column: str = "class_name", seed: int = SEED
+    df: DataFrame, target: int | None, key: str, class_column: str = "class_name", seed: int = SEED
 ) -> DataFrame:
-    """Rows plus repeated rows of the classes below ``target``, drawn with replacement.
+    """Rows plus repeated rows of the classes below ``target``, drawn with replacement; no target: the largest class.
 
     ``copy`` is 0 on originals and the draw number on repeats; ``shuffle_key`` orders the output when
-    it is written. Only short classes - by definition fewer rows than the target - are numbered.
+    it is written. Only short classes are numbered, by range partitions, and the draws of a class are dealt out in
+    runs before each run becomes rows: no task holds a class.
     """
-    if target <= 0:
+    if target is not None and target <= 0:
         raise ValueError("target must be positive")
-    short = class_counts(df, class_column).filter(F.col("n") < target)
-    order = Window.partitionBy(class_column).orderBy(hash_order(seed, F.col(key)), F.col(key))
-    numbered = df.join(short.select(class_column), class_column, "left_semi").withColumn("_row", F.row_number().over(order))
-    draws = short.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(target) - F.col("n"))))
+    counts = class_counts(df, class_column)
+    if target is None:
+        target = counts.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    short = counts.filter(F.col("n") < target)
+    of_short = df.join(short.select(class_column), class_column, "left_semi").withColumn("_hash", hash_order(seed, F.col(key)))
+    numbered = ranked(of_short, [class_column], [F.col("_hash"), F.col(key)]).drop("_hash").withColumnRenamed("rank", "_row")
+    missing = F.lit(target) - F.col("n")
+    runs = short.withColumn("_run", F.explode(F.sequence(F.lit(0), F.ceil(missing / DRAWS) - 1))).repartition(class_column, "_run")
+    draws = runs.withColumn("copy", F.explode(F.sequence(F.col("_run") * DRAWS + 1, F.least(missing, (F.col("_run") + 1) * DRAWS))))
     number = F.conv(F.substring(hash_order(seed, F.col(class_column), F.col("copy")), 1, 8), 16, 10).cast("bigint")
     draws = draws.select(class_column, F.col("copy").cast("int").alias("copy"), (number % F.col("n") + 1).cast("int").alias("_row"))
     repeats = draws.join(numbered, [class_column, "_row"]).select(*df.columns, "copy")

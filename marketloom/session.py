@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,7 @@ def local_session(app: str = "marketloom", cpus: int | str = "*", shuffle_partit
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a private one only where none is set."""
+    """The folder that the cluster names for checkpoints; where none is named, one in the warehouse, which is shared too."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         if not spark.sparkContext.getCheckpointDir():
@@ -37,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="marketloom-checkpoint-"))
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return spark.sparkContext.getCheckpointDir()
 
 

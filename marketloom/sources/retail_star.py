@@ -63,6 +63,13 @@ def _produce(index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(p) for p in PRODUCE]), (index % len(PRODUCE) + 1).cast("int"))
 
 
+def _hour() -> Column:
+    """The hour as ISO text; two of three with a fraction of a second, so that events of an hour differ by it."""
+    n = F.col("event_id")
+    fraction = F.when(n % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("."), (n % 9 + 1).cast("string"), F.lit("00000")))
+    return F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:00:00"), fraction)
+
+
 def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
@@ -146,7 +153,7 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 4 == 1, F.lit("A")).alias("producer_override_grade"),
         F.when(k % 3 == 0, F.lit(True)).when(k % 3 == 1, F.lit(False)).alias("accepted_ai_recommendation"),
         F.when(n % 12 == 0, F.lit("manual")).alias("model_name"),
-        F.when(n % 7 == 0, F.lit("")).when(n % 7 == 1, F.lit("someday soon")).otherwise(_iso(F.col("ts"))).alias("created_at"),
+        F.when(n % 7 == 0, F.lit("")).when(n % 7 == 1, F.lit("someday soon")).when(n % 7 == 2, F.concat(_iso(F.col("ts")), F.lit("+09:00"))).otherwise(_iso(F.col("ts"))).alias("created_at"),
         F.col("ts").alias("feedback_ts"),
     )
 
@@ -163,7 +170,7 @@ def producer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(fault == 2, F.lit("")).otherwise(F.concat(F.lit("AREA"), (user % 9).cast("string"))).alias("postcode_area"),
         F.array(F.lit(" fruit "), F.lit(""), F.concat(F.lit("c"), (n % 3).cast("string"))).alias("categories"),
         (n % 2 == 0).alias("organic_certified"),
-        F.when(fault == 3, F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:00:00")).alias("created_at"),
+        F.when(fault == 3, F.lit("not a time")).otherwise(_hour()).alias("created_at"),
         F.lit("feed").alias("source"),
     )
 
@@ -186,7 +193,7 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(fault == 2, F.lit(13)).when(seasonal, k % 12 + 1).cast("int").alias("seasonal_start_month"),
         F.when(seasonal, (k * 5) % 12 + 1).cast("int").alias("seasonal_end_month"),
         (n % 6 != 0).alias("available"),
-        F.when(fault == 3, F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:00:00")).alias("created_at"),
+        F.when(fault == 3, F.lit("not a time")).otherwise(_hour()).alias("created_at"),
         F.lit("feed").alias("source"),
     )
 
@@ -223,10 +230,10 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History batches from signups: two orders each; some batches carry one bad order."""
+    """History batches from signups: two orders each; some batches carry one bad order, some share orders in chains."""
     n, user, k = F.col("event_id"), F.col("user_id"), _k()
     order = lambda i: F.struct(
-        F.when((n % 19 == 0) & F.lit(i == 1), n % 1000).otherwise(F.lit(20_000_000) + n * 2 + F.lit(i) * flag(n % 23 != 0)).cast("bigint").alias("order_id"),
+        F.when((n % 19 == 0) & F.lit(i == 1), n % 1000).when(n % 4 == 0, F.lit(30_000_000) + n % 50 + F.lit(i)).otherwise(F.lit(20_000_000) + n * 2 + F.lit(i) * flag(n % 23 != 0)).cast("bigint").alias("order_id"),
         F.when((n % 29 == 0) & F.lit(i == 0), F.lit("soon")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("order_date"),
         F.when(n % 2 == 0, F.col("value")).alias("total_amount"),
         F.array(
@@ -263,9 +270,8 @@ def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probability_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten class probabilities per vector (softmax of the first ten values, times 20)."""
-    first = F.slice(F.col("embedding"), 1, 10)
-    scaled = F.transform(first, lambda v: F.exp(v.cast("double") * 20.0))
+    """One class probability for each value of a vector (softmax of the values, times 20)."""
+    scaled = F.transform("embedding", lambda v: F.exp(v.cast("double") * 20.0))
     total = F.aggregate(scaled, F.lit(0.0), lambda acc, v: acc + v)
     return read(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("label").cast("int").alias("label"), scaled.alias("_e"), total.alias("_t")

@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from marketloom.functions.classes import event_day
 from marketloom.operators import catalog as Ca
 from marketloom.operators import lines as L
 from marketloom.operators import orders as O
@@ -91,6 +92,30 @@ def test_history_batches(spark):
     assert L.order_lines(O.apply_history_events(t, valid)).count() == 9
 
 
+def test_history_batches_in_turn(spark):
+    order = lambda oid: (oid, "2026-05-05", None, [("P000001", 1.0, 1.0)])
+    batch = lambda bid, *ids_: (bid, "C000001", None, None, None, [order(i) for i in ids_], None)
+    events = _log(spark, "history", [batch("B0", "H1", "H2"), batch("B1", "H2", "H3"), batch("B2", "H3"), batch("B3", "H3", "H4"), batch("B4", " H4 "), batch("B5", "H4")])
+    valid, rejected = O.validate_history(tables(spark), events)
+    assert rows(valid, "history_batch_id") == [("B0",), ("B2",), ("B4",)]
+    assert {r for r, in rows(rejected, "history_batch_id")} == {"B1", "B3", "B5"}
+
+
+def test_event_times_keep_fractions_and_ids_are_trimmed(spark):
+    times = ["2026-05-01T10:00:00.900", "2026-05-01T10:00:00.100", "2026-05-01T09:00:00"]
+    valid, _ = Ca.normalise_product_events(_log(spark, "product", [_product(" P9 ", producer=" PR000001", at=t) for t in times]), tables(spark).producers)
+    assert rows(Ca.latest_by_key(valid, "product_id"), "product_id", "producer_id", "created_at") == [("P9", "PR000001", "2026-05-01T10:00:00.900000")]
+    assert {r.created_at for r in valid.collect()} >= {"2026-05-01T09:00:00"}
+    _, rejected = O.validate_order_events(tables(spark), _log(spark, "order", [_order(" O000001 ")]))
+    assert rows(rejected, "reject_reason") == [("duplicate order_id",)]
+
+
+def test_day_is_the_written_one(spark):
+    times = [("2026-05-01T00:30:00+02:00",), ("12:30",), ("2026-05",), ("",), (None,)]
+    days = spark.createDataFrame(times, "t string").select(event_day(F.col("t"))).collect()
+    assert [d[0] for d in days] == ["2026-05-01", "12:30", "2026-05", "unknown", "unknown"]
+
+
 def test_live_tables_feed_recommendations(spark):
     t = tables(spark)
     producers = spark.createDataFrame([], logs.LOG_SCHEMAS["producer"] + ", seq long")
