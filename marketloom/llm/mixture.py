@@ -101,3 +101,42 @@ def mix(
         *[F.col(own[c]).alias(c) for c in out], F.col("_epoch").cast("long").alias("epoch"), F.col("_slot").alias("slot"),
         F.expr(f"_slot * {block} + _at % {block}").alias("position"),
     )
+
+
+def sql() -> str:
+    """The production query as SQL: the schedule slot by slot, then every row's places."""
+    return f"""
+    WITH RECURSIVE counts AS (
+      SELECT source, count(*) AS n, pow(count(*)::DOUBLE, {POWER}) AS weight FROM documents GROUP BY source
+    ), shares AS (
+      SELECT source, n, weight / (SELECT sum(weight) FROM counts) AS share FROM counts
+    ), entry AS (
+      SELECT source, n, share, share * {UNITS} >= 1 AS named, CASE WHEN share * {UNITS} >= 1 THEN source END AS entry FROM shares
+    ), entries AS (
+      SELECT named, entry, sum(n)::BIGINT AS n, row_number() OVER (ORDER BY sum(share) DESC, named, entry NULLS FIRST) - 1 AS sid,
+        greatest(1, round(sum(share) * {UNITS}))::BIGINT AS units FROM entry GROUP BY named, entry
+    ), one AS (
+      SELECT list(units ORDER BY sid) AS u, sum(units)::BIGINT AS w FROM entries
+    ), schedule AS (
+      SELECT -1::BIGINT AS slot, list_transform(u, lambda x: 0::BIGINT) AS had, -1::BIGINT AS sid FROM one
+      UNION ALL
+      SELECT slot, list_transform(range(1, len(had) + 1), lambda i: had[i] + (i = pick + 1)::BIGINT), pick FROM (
+        SELECT s.slot + 1 AS slot, had, list_min(list_transform(range(1, len(had) + 1), lambda i:
+          CASE WHEN (had[i] * w) // u[i] <= s.slot + 1 THEN (((had[i] + 1) * w + u[i] - 1) // u[i]) * 1000003 + i - 1 END)) % 1000003 AS pick
+        FROM schedule s, one WHERE s.slot + 1 < w
+      )
+    ), turns AS (
+      SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS turn FROM schedule WHERE slot >= 0
+    ), horizon AS (
+      SELECT max(((n - 1) // {BLOCK} // units) * w + slot) + 1 AS h FROM entries, one, turns
+      WHERE turns.sid = entries.sid AND turn = ((n - 1) // {BLOCK}) % units
+    ), ranked AS (
+      SELECT doc_id, d.source, e.sid, e.units, e.n, row_number() OVER (PARTITION BY e.sid ORDER BY md5('{SEED}|' || coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST) - 1 AS place
+      FROM documents d JOIN entry x ON x.source IS NOT DISTINCT FROM d.source JOIN entries e ON e.named = x.named AND e.entry IS NOT DISTINCT FROM x.entry
+    ), repeated AS (
+      SELECT r.*, epoch, epoch * n + place AS spot FROM ranked r, generate_series(0, {EPOCHS - 1}) g(epoch)
+    ), slots AS (
+      SELECT doc_id, source, epoch, spot, (spot // {BLOCK} // units) * w + slot AS slot FROM repeated r JOIN turns t ON t.sid = r.sid AND t.turn = (spot // {BLOCK}) % units, one
+    )
+    SELECT doc_id, source, epoch::BIGINT AS epoch, slot, slot * {BLOCK} + spot % {BLOCK} AS position FROM slots, horizon WHERE epoch = 0 OR slot < h
+    """

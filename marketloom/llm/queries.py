@@ -62,4 +62,4 @@ QUERIES = {f.__name__: f for f in (
     op1_stratified_shards, op2_kneser_ney, op3_preference_pairs, op4_toxic_segments, op5_chunk_fingerprints, op6_benchmark_leaks,
     op7_pfair_mixture, op8_quality_ftrl, op9_site_lines, op10_simhash_components,
 )}
-ORACLE: dict[str, str] = {"op9_site_lines": site_lines.sql()}
+ORACLE: dict[str, str] = {"op1_stratified_shards": shards.sql(SHARDS), "op7_pfair_mixture": mixture.sql(), "op9_site_lines": site_lines.sql()}

@@ -66,3 +66,30 @@ def digest(docs: DataFrame, shards: int) -> DataFrame:
 def write_shards(sharded: DataFrame, path: str) -> None:
     """Writes one folder per shard, rows in slot order; no shard's folder needs another's rows."""
     sharded.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def sql(shards: int) -> str:
+    """``digest`` as SQL. CRC-32 goes over the hex digits of the bytes, the low digit of each first, by a table of 16."""
+    table = []
+    for i in range(16):
+        for _ in range(4):
+            i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)
+        table.append(i)
+    digits = "list_transform(range(0, 2 * (size - 16)), lambda i: (instr('0123456789ABCDEF', digits[xor(i, 1) + 1]) - 1)::BIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda c, n: xor(c >> 4, ({table}::BIGINT[])[(xor(c, n) & 15) + 1])), 4294967295::BIGINT)"
+    return f"""
+    WITH d AS (
+      SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 16 AS size, string_split(hex(encode(coalesce(text, ''))), '') AS digits,
+        md5('{SEED}|' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+    ), summed AS (
+      SELECT doc_id, source, size, h, {crc} AS text_crc32 FROM d
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, text_crc32, size) AS rank, count(*) OVER (PARTITION BY source) AS n FROM summed
+    ), placed AS (
+      SELECT *, row_number() OVER (ORDER BY (2 * rank - 1) / (2 * n)::DOUBLE, source NULLS FIRST, rank) - 1 AS place, count(*) OVER () AS total FROM ranked
+    ), dealt AS (
+      SELECT *, place * {shards} // total AS shard FROM placed
+    )
+    SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, place - (shard * total + {shards - 1}) // {shards} AS slot,
+      NULL::INTEGER AS grown_shard, source FROM dealt
+    """
