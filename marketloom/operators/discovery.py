@@ -322,10 +322,10 @@ def raw_scores(own: DataFrame, edges: DataFrame) -> DataFrame:
     # the edges are too large to broadcast, adaptive execution splits such a product instead.
     own = own.repartition(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), "customer_id", "product_id")
     scored = own.withColumnRenamed("product_id", "product_a").join(edges, "product_a").select(
-        "customer_id", "customer_type", F.col("product_b").alias("product_id"), "n", F.lit(0).alias("bought")
+        "customer_id", F.col("product_b").alias("product_id"), "n", F.lit(0).alias("bought")
     )
-    marks = own.select("customer_id", "customer_type", "product_id", F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("bought"))
-    return scored.unionByName(marks).groupBy("customer_id", "customer_type", "product_id").agg(
+    marks = own.select("customer_id", "product_id", F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("bought"))
+    return scored.unionByName(marks).groupBy("customer_id", "product_id").agg(
         F.sum("n").alias("raw"), F.max("bought").alias("bought")
     )
 
@@ -337,18 +337,21 @@ def cooccurrence_candidates(targets: DataFrame, basis: Basis) -> DataFrame:
     """
     season = seasonal_flag(F.month(basis.as_of), F.col("seasonal_start_month"), F.col("seasonal_end_month"))
     segment = segment_popularity(basis.sales).select("customer_type", "product_id", F.col("popularity").alias("_segment"))
-    listed = basis.products.select("product_id", "producer_id", season.alias("_season"))
+    # A product brings its score in every customer type along (types are few), so the big table meets products once.
+    by_type = segment.filter("customer_type IS NOT NULL").groupBy("product_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("customer_type", "_segment"))).alias("_by_type")
+    )
+    listed = basis.products.select("product_id", "producer_id", season.alias("_season")).join(by_type, "product_id", "left")
     # The raw scores are the big table of this job and are read three times from here on.
-    raw = cut(raw_scores(basis.history.join(targets, "customer_id"), basis.edges))
+    raw = cut(raw_scores(basis.history.join(targets.select("customer_id"), "customer_id"), basis.edges))
     # The largest raw score counts products that were bought or are unlisted.
-    largest = raw.groupBy("customer_id").agg(F.max("raw").alias("_largest"))
+    largest = raw.groupBy("customer_id").agg(F.max("raw").alias("_largest")).join(targets.select("customer_id", "customer_type"), "customer_id")
     parts = (
         raw.filter((F.col("bought") == 0) & (F.col("raw") > 0))
         .join(listed, "product_id")
-        .join(segment, ["customer_type", "product_id"], "left")
         .join(largest, "customer_id")
         .withColumn("_co", F.col("raw") / F.col("_largest"))
-        .withColumn("_segment", F.coalesce("_segment", F.lit(0.0)))
+        .withColumn("_segment", F.coalesce(F.col("_by_type")[F.col("customer_type")], F.lit(0.0)))
     )
     score = (
         F.col("_co") * COOCCURRENCE_WEIGHT + F.col("_segment") * SEGMENT_WEIGHT + F.col("_season") * COOCCURRENCE_SEASON_WEIGHT
