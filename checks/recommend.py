@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -195,8 +196,12 @@ for _m in R.REORDER_METHODS:
     QUERIES[f"reorder_{_m}"] = _reorder(_m)
     ORACLE[f"reorder_{_m}"] = _reorder_oracle(_m)
 
-QUERIES["recommend_dispatch"] = _reorder(R.FREQUENCY_RECENCY)
-ORACLE["recommend_dispatch"] = _reorder_oracle(R.FREQUENCY_RECENCY)
+
+@register("recommend_dispatch", " UNION ALL BY NAME ".join(f"SELECT * FROM ({_reorder_oracle(m)})" for m in R.REORDER_METHODS))
+def recommend_dispatch(spark, sf):
+    """Every method by its name."""
+    lists = [_reorder(m)(spark, sf) for m in R.REORDER_METHODS]
+    return reduce(lambda a, b: a.unionByName(b), lists)
 
 
 @register("top_k_popular", query(Q.popular_list("lines", 10), "lines", "m_products"))
