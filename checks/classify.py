@@ -606,17 +606,30 @@ def quality_decision(spark, sf):
     return flat_codes(Ql.quality_decision(quality_rows(spark, sf)), "quality_reason_codes", "warnings").select(*DECISION)
 
 
-@register("prediction_enrich", query(f"""SELECT b.event_id, b.produce_type, b.freshness_status, d.grade AS quality_grade, d.action AS recommended_action, b.manual_review_required OR d.manual_review AS manual_review_required,
+@register("prediction_enrich", query(f"""SELECT b.event_id, b.produce_type, b.freshness_status, coalesce(d.grade, b.quality_grade) AS quality_grade, coalesce(d.action, b.recommended_action) AS recommended_action,
+    b.manual_review_required OR coalesce(d.manual_review, false) AS manual_review_required, d.grade IS NULL AS quality_missing, d.inventory_status, d.discount_percentage,
     {distinct_join("list_concat(string_split(b.reason_codes, '|'), string_split(d.quality_reason_codes, '|'))")} AS reason_codes, d.overall_quality_score, b.model AS model_name, 'v' || (b.event_id % 3) AS model_version
-    FROM business b JOIN decisions d USING (event_id)""", "business", "decisions"))
+    FROM business b LEFT JOIN (SELECT * FROM decisions WHERE event_id % 43 <> 0) d USING (event_id)""", "business", "decisions"))
 def prediction_enrich(spark, sf):
     version = F.concat(F.lit("v"), (F.col("event_id") % 3).cast("string"))
-    rich = Ql.prediction_enrich(business(spark, sf), Ql.quality_decision(quality_rows(spark, sf)), "event_id", F.col("model"), F.lit(None).cast("string"), version)
+    decided = Ql.quality_decision(quality_rows(spark, sf).filter("event_id % 43 <> 0"))  # some images give no features
+    rich = Ql.prediction_enrich(business(spark, sf), decided, "event_id", F.col("model"), F.lit(None).cast("string"), version)
     return flat_codes(rich).select(
         "event_id", "produce_type", "freshness_status", "quality_grade", "recommended_action", "manual_review_required", "reason_codes", "overall_quality_score", "model_name", "model_version",
+        "quality_missing", "inventory_status", "discount_percentage",
     )
 
 
+@register("missing_images", query("""SELECT event_id, image_id, product_type FROM
+    (SELECT event_id, event_id % (SELECT count(*) FROM embeddings) AS image_id, split_part(predicted_class, '__', 1) AS product_type FROM topk) WHERE image_id % 41 = 0""", "topk"))
+def missing_images(spark, sf):
+    count = star.read(spark, sf, "embeddings").select(F.count("*")).scalar()
+    p = preds(spark, sf)
+    rows = p.select("event_id", (F.col("event_id") % count).alias("image_id"), C.produce_of(F.col("predicted_class")).alias("product_type"))
+    readable = star.pixel_images(spark, sf).filter("image_id % 41 <> 0").join(rows.select("image_id", "product_type").distinct(), "image_id")
+    return Ql.missing_images(rows, I.image_features(readable, I.quality_profiles(spark)), ["image_id", "product_type"])
+
+
 def weight_sql(sets: dict) -> str:
     rows = ", ".join(f"('{n}', {', '.join(f'{w}::DOUBLE' for w in ws)})" for n, ws in sets.items())
     src = f"SELECT * FROM components, (VALUES {rows}) t(weight_set, w1, w2, w3, w4, w5)"

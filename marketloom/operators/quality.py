@@ -181,20 +181,31 @@ def _decided(scored: DataFrame) -> DataFrame:
 
 def prediction_enrich(business: DataFrame, decision: DataFrame, key: str, model_name: Column, trained_at: Column, selected_at: Column) -> DataFrame:
     """The served prediction row: quality grade and action replace the first mapping's, review flags
-    are OR-ed, reason codes joined without repeats, model name and version added."""
-    quality = decision.select(key, "grade", "action", "manual_review", "quality_reason_codes", "overall_quality_score")
-    return business.join(quality, key).select(
+    are OR-ed, reason codes joined without repeats, component scores, stock advice, warnings, model name and version added.
+
+    A row without a decision (its image gave no features) keeps its first mapping, and ``quality_missing`` marks it.
+    """
+    added = ["overall_quality_score", "inventory_status", "discount_percentage", "warnings", *[c for c in decision.columns if c.startswith("c_")]]
+    quality = decision.select(key, "grade", "action", "manual_review", "quality_reason_codes", *added)
+    none = F.array().cast("array<string>")
+    return business.join(quality, key, "left").select(
         *[c for c in business.columns if c not in ("quality_grade", "recommended_action", "manual_review_required", "reason_codes")],
-        F.col("grade").alias("quality_grade"),
-        F.col("action").alias("recommended_action"),
-        (F.col("manual_review_required") | F.col("manual_review")).alias("manual_review_required"),
-        F.array_distinct(F.concat("reason_codes", "quality_reason_codes")).alias("reason_codes"),
-        "overall_quality_score",
+        F.coalesce("grade", "quality_grade").alias("quality_grade"),
+        F.coalesce("action", "recommended_action").alias("recommended_action"),
+        (F.col("manual_review_required") | F.coalesce("manual_review", F.lit(False))).alias("manual_review_required"),
+        F.array_distinct(F.concat("reason_codes", F.coalesce("quality_reason_codes", none))).alias("reason_codes"),
+        *added,
+        F.col("grade").isNull().alias("quality_missing"),
         model_name.alias("model_name"),
         F.coalesce(trained_at, selected_at).alias("model_version"),
     )
 
 
+def missing_images(rows: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose image gave no features; a weight study leaves these out, so they are listed before it."""
+    return rows.join(features.select(*keys).distinct(), keys, "left_anti")
+
+
 def evaluate_weight_sets(rows: DataFrame, weight_sets: dict[str, list[float]] | None = None) -> DataFrame:
     """Per weight set: grade counts, review rate, rotten and risky counts, mean score, actions.
 
