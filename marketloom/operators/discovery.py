@@ -181,9 +181,8 @@ def rank_lists(popularity: DataFrame) -> DataFrame:
     producer's best product - the producer's place in the list."""
     order = [F.desc("score"), F.asc("product_id")]
     placed = ranked(popularity, ["list"], order).withColumnRenamed("rank", "place")
-    # Places are unique per list, so they order producer windows too.
-    inside = F.row_number().over(Window.partitionBy("list", "producer_id").orderBy("place"))
-    placed = placed.withColumn("producer_place", inside)
+    # Places are unique per list, so they order a producer's products too; one producer may have most of them.
+    placed = ranked(placed, ["list", "producer_id"], [F.asc("place")]).withColumnRenamed("rank", "producer_place")
     heads = ranked(placed.filter("producer_place = 1").select("list", "producer_id", "place"), ["list"], [F.asc("place")])
     heads = heads.select("list", "producer_id", F.col("rank").alias("producer_rank"))
     return placed.join(heads, ["list", "producer_id"], "left")

@@ -32,11 +32,9 @@ def class_counts(df: DataFrame, class_column: str = "class_name") -> DataFrame:
 
 
 def class_index(df: DataFrame, class_column: str = "class_name") -> DataFrame:
-    """Sorted distinct classes with a 0-based index; a label vocabulary, so one sorted array."""
+    """Sorted distinct classes with a 0-based index, numbered by range partitions."""
     names = df.select(class_column).filter(F.col(class_column).isNotNull()).distinct()
-    return names.agg(F.array_sort(F.collect_list(class_column)).alias("_c")).select(
-        F.posexplode("_c").alias("class_index", class_column)
-    )
+    return ranked(names, [], [F.col(class_column)]).select((F.col("rank") - 1).cast("int").alias("class_index"), class_column)
 
 
 def class_balance(df: DataFrame, class_column: str = "class_name") -> DataFrame:
