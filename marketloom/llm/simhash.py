@@ -18,8 +18,6 @@ RADIUS = 4
 SEED = 42
 #: Rows of a bucket that one task takes; a larger bucket is dealt out as pairs of parts.
 PART_ROWS = 500_000
-#: Members of a class that link to the same member, so that no row of the link table has many partners.
-BRANCH = 32
 #: Words of a shingle and independent fingerprints of a text when near copies are dropped.
 COPY_WORDS = 2
 TABLES = 8
@@ -175,14 +173,29 @@ def trie_classes(keys: np.ndarray, first: np.ndarray, budget: int, batch: int =
     return root
 
 
-def tree_links(root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each class a tree over its members in which no member has more than BRANCH + 1 neighbours."""
-    order = np.argsort(root, kind="stable")
-    head = np.concatenate(([True], root[order][1:] != root[order][:-1])) if len(root) else np.zeros(0, bool)
-    start = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
-    at = np.flatnonzero(~head)
-    up = start[at] + (at - start[at] - 1) // BRANCH
-    return order[at], order[up]
+def tree_links(root: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each class a tree of two levels: members by groups of hash, to the first of their group, to the first of all.
+
+    A class of n has about sqrt(n) groups, so no member has many neighbours. First is smallest ``name``; as groups go by
+    name too, a class that is found in several buckets yields the same links, which are then counted once.
+    """
+    if not len(root):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, of, sizes = np.unique(root, return_inverse=True, return_counts=True)
+    groups = (np.uint64(1) << np.ceil(np.log2(np.sqrt(sizes))).astype(np.uint64))[of]
+    mixed = name.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    group = (mixed >> np.uint64(32)) & (groups - np.uint64(1))
+    links_: list[tuple[np.ndarray, np.ndarray]] = []
+    order = np.lexsort((name, group, of))
+    head = np.concatenate(([True], (of[order][1:] != of[order][:-1]) | (group[order][1:] != group[order][:-1])))
+    leader = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    links_.append((order, leader))
+    tops = order[head]
+    tops = tops[np.lexsort((name[tops], of[tops]))]
+    first = np.concatenate(([True], of[tops][1:] != of[tops][:-1]))
+    links_.append((tops, tops[np.maximum.accumulate(np.where(first, np.arange(len(tops)), 0))]))
+    x, y = (np.concatenate(side) for side in zip(*links_))
+    return x[x != y], y[x != y]
 
 
 def _rotate(x: np.ndarray, by: np.ndarray) -> np.ndarray:
@@ -191,7 +204,7 @@ def _rotate(x: np.ndarray, by: np.ndarray) -> np.ndarray:
 
 
 def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
-    """Links (t, a, b) between distinct fingerprints (t, fp) that chain together all of one t that are within ``radius`` bits.
+    """Links (a, b) between names that chain together all fingerprints of one t within ``radius`` bits; distinct (t, fp, name).
 
     The 64 bits are cut into radius + 1 blocks: two fingerprints within the radius agree in one of them. So each
     fingerprint goes to one bucket for each block, rotated so that the block comes first, and a bucket is the part of a
@@ -204,7 +217,7 @@ def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
     spread = F.posexplode(F.array(*[
         F.shiftrightunsigned(F.shiftleft("fp", s), 64 - w) for s, w in zip(shifts, widths)
     ])).alias("block", "value")
-    rows = fps.select("fp", "t", spread).select("fp", (F.col("t") * (radius + 1) + F.col("block")).cast("int").alias("block"), "value")
+    rows = fps.select("fp", "name", "t", spread).select("fp", "name", (F.col("t") * (radius + 1) + F.col("block")).cast("int").alias("block"), "value")
     hot = cut(rows.groupBy("block", "value").agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows).select(
         "block", "value", F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")
     ))
@@ -213,20 +226,18 @@ def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
         rows.join(hot, ["block", "value"], "left")
         .withColumn("_me", part)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-        .select("fp", "block", "value", F.least("_me", "_other").alias("x"), F.greatest("_me", "_other").alias("y"))
+        .select("fp", "name", "block", "value", F.least("_me", "_other").alias("x"), F.greatest("_me", "_other").alias("y"))
     )
     offsets = np.array(shifts, np.uint64)
 
-    def solve(fp: np.ndarray, block: np.ndarray, same: np.ndarray) -> pa.RecordBatch:
+    def solve(fp: np.ndarray, name: np.ndarray, block: np.ndarray, same: np.ndarray) -> pa.RecordBatch:
         turned = _rotate(fp, offsets[block % (radius + 1)])
         order = np.lexsort((turned, np.cumsum(same)))
-        fp, turned, first = fp[order], turned[order], same
+        name, turned, first = name[order], turned[order], same
         repeat = np.concatenate(([False], (turned[1:] == turned[:-1]) & ~first[1:]))
-        fp, turned, first, t = fp[~repeat], turned[~repeat], first[~repeat], (block // (radius + 1))[~repeat]
-        a, b = tree_links(trie_classes(turned, first, radius))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(t[a].astype(np.int32)), pa.array(fp[a].view(np.int64)), pa.array(fp[b].view(np.int64))], names=["t", "a", "b"],
-        )
+        name, turned, first = name[~repeat], turned[~repeat], first[~repeat]
+        a, b = tree_links(trie_classes(turned, first, radius), name)
+        return pa.RecordBatch.from_arrays([pa.array(name[a]), pa.array(name[b])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come bucket by bucket; whole buckets are solved together, some hundred thousand rows at a time."""
@@ -238,7 +249,7 @@ def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
             if sum(h.shape[1] for h in held) < 200_000:
                 continue
             all_ = np.concatenate(held, axis=1)
-            last = np.flatnonzero((all_[1:, 1:] != all_[1:, :-1]).any(axis=0))
+            last = np.flatnonzero((all_[2:, 1:] != all_[2:, :-1]).any(axis=0))
             if len(last):
                 end = last[-1] + 1
                 held = [all_[:, end:]]
@@ -249,20 +260,20 @@ def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
             yield one(all_)
 
     def one(rows_: np.ndarray) -> pa.RecordBatch:
-        first = np.concatenate(([True], (rows_[1:, 1:] != rows_[1:, :-1]).any(axis=0)))
-        return solve(rows_[0].view(np.uint64), rows_[1], first)
+        first = np.concatenate(([True], (rows_[2:, 1:] != rows_[2:, :-1]).any(axis=0)))
+        return solve(rows_[0].view(np.uint64), rows_[1], rows_[2], first)
 
     bucket = ["block", "value", "x", "y"]
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = dealt.repartition(parts, *bucket).sortWithinPartitions(*bucket)
-    return placed.mapInArrow(run, "t int, a bigint, b bigint").distinct()
+    return placed.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def components(links_: DataFrame, nodes: DataFrame) -> DataFrame:
     """(fp, label): for each linked fingerprint the smallest ``first`` reachable over the links.
 
     ``nodes`` holds (fp, first). Each round every fingerprint takes the smallest label among its own and its
-    neighbours'; a fingerprint has few neighbours by the way links are made, so no key is hot. Each round is written to
+    neighbours'; links are made so that none has many neighbours. Each round is written to
     the shared folder; the rounds end when no label changes. Only a count comes to the driver.
     """
     both = cut(links_.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links_.select("b", "a")))
@@ -289,7 +300,7 @@ def near_duplicates(
     """
     marked = cut(fingerprints(docs, [key, *extra], text, words))
     nodes = cut(marked.groupBy("fp").agg(F.min(key).alias("first"), F.count("*").alias("_copies")))
-    found = components(links(nodes.select("fp", F.lit(0).alias("t")), radius), nodes)
+    found = components(links(nodes.select("fp", F.col("fp").alias("name"), F.lit(0).alias("t")), radius), nodes)
     labels = nodes.select("fp", "first").join(found, "fp", "left").select("fp", F.coalesce("label", "first").alias("component"))
     return marked.join(labels, "fp").select(key, *extra, "fp", "component")
 
@@ -310,9 +321,7 @@ def text_classes(docs: DataFrame, key: str, text: str, words: int = COPY_WORDS,
     nodes = cut(marked.groupBy(F.col(text + "_id").alias("node")).agg(F.min(key).alias("first"), F.first("fps").alias("fps")))
     placed = nodes.select("node", F.posexplode("fps").alias("t", "fp"))
     shared = cut(placed.groupBy("t", "fp").agg(F.min("node").alias("rep"), F.count("*").alias("texts")))
-    found = links(shared.select("t", "fp"), radius)
-    side = lambda c: shared.select("t", F.col("fp").alias(c), F.col("rep").alias("rep_" + c))
-    near = found.join(side("a"), ["t", "a"]).join(side("b"), ["t", "b"]).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    near = links(shared.select("t", "fp", F.col("rep").alias("name")), radius)
     equal = placed.join(shared.filter("texts > 1"), ["t", "fp"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
     edges = near.union(equal).filter("a <> b").distinct()
     labels = components(edges, nodes.select(F.col("node").alias("fp"), "first"))

@@ -55,9 +55,10 @@ def test_trie_finds_every_link(seed):
     edges = [*np.flatnonzero(f), len(k)]
     for a, b in zip(edges, edges[1:]):
         assert [x - a for x in got[a:b]] == classes(keys[a:b], 4)
-    x, y = simhash.tree_links(got)
+    x, y = simhash.tree_links(got, np.arange(len(k)))
     assert np.array_equal(simhash.unite(np.arange(len(k)), x, y), got)
-    assert np.bincount(np.concatenate((x, y))).max() <= simhash.BRANCH + 1
+    x, y = simhash.tree_links(np.zeros(10_000, np.int64), np.arange(10_000))
+    assert np.bincount(np.concatenate((x, y))).max() <= 400 and not simhash.unite(np.arange(10_000), x, y).any()
 
 
 def test_dense_group_is_near_linear():
@@ -83,7 +84,7 @@ def test_hot_buckets_are_split_without_losing_links(spark):
     rng = random.Random(3)
     fps = list({rng.getrandbits(64) & ~(1 << rng.randrange(64)) for _ in range(20)} | {1 << a | 1 << b for a in range(30) for b in range(a)})
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
-    df = spark.createDataFrame([(x, 0) for x in signed], "fp bigint, t int")
+    df = spark.createDataFrame([(x, x, 0) for x in signed], "fp bigint, name bigint, t int")
     nodes = df.select("fp", F.col("fp").alias("first"))
 
     def labels(part_rows):
@@ -95,7 +96,7 @@ def test_hot_buckets_are_split_without_losing_links(spark):
 def test_chains_reach_the_smallest_id(spark):
     ids = [(1 << 62) | ((1 << i) - 1) for i in range(0, 60, 4)]
     nodes = spark.createDataFrame([(x, 100 + i) for i, x in enumerate(reversed(ids))], "fp bigint, first bigint")
-    found = simhash.components(simhash.links(nodes.select("fp", F.lit(0).alias("t")), 4), nodes).collect()
+    found = simhash.components(simhash.links(nodes.select("fp", F.col("fp").alias("name"), F.lit(0).alias("t")), 4), nodes).collect()
     assert {r.label for r in found} == {100} and len(found) == 15
 
 
