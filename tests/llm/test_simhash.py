@@ -131,3 +131,27 @@ def test_stage_takes_awkward_rows(spark):
     ids = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept.select("doc_id", F.substring("text", 1, 9).alias("text")).collect())
     assert [i for n, i, _ in ids if not n] == [1, 3, 5, 6, 7] and sum(n for n, *_ in ids) == 1
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
+
+
+def plain_copies(texts, words=5):
+    """Single-linkage classes by brute force over five-word sets of all pairs: the smallest place of each text's class."""
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        k = min(words, len(w))
+        sets.append({tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if w else {()})
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("shared", [140, 160])
+def test_texts_that_share_a_passage_stay(spark, shared):
+    rng = random.Random(shared)
+    passage = [f"p{i}" for i in range(shared)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(200 - shared)]), "s") for i in range(400)]
+    assert simhash.drop_near_duplicates(documents(spark, rows)).count() == 400
