@@ -52,3 +52,21 @@ def test_awkward_rows(spark):
     assert mixture.mix(empty(spark)).count() == 0
     clash = awkward(spark).withColumns({c: F.lit(1) for c in ("epoch", "n", "sid", "units", "turn", "w", "_rows")})
     assert mixture.mix(clash).filter("epoch = 0").count() == 11
+
+
+def test_sources_under_a_unit_keep_their_weights(spark):
+    """1,500 sources of 0.00067: half have twice the weight of the others, and each is within two blocks of its target."""
+    docs = spark.range(1500 * 12).selectExpr("id AS doc_id", "concat('s', id % 1500) AS source")
+    weight = {f"s{i}": 2.0 if i % 2 else 1.0 for i in range(1500)}
+    weights = spark.createDataFrame(list(weight.items()), "source string, weight double")
+    rows = mixture.mix(docs, weights, block=1, epochs=4).select("slot", "source", "doc_id", "epoch").collect()
+    assert {r.doc_id for r in rows} == set(range(1500 * 12))
+    assert len({r.slot for r in rows}) == len(rows) and len({(r.doc_id, r.epoch) for r in rows}) == len(rows)
+    # up to 9,000 slots no source is through, so that each has its share of every beginning
+    for t in (1500, 4500, 9000):
+        got = dict.fromkeys(weight, 0)
+        for r in rows:
+            got[r.source] += r.slot < t
+        assert max(abs(got[s] - t * w / 2250) for s, w in weight.items()) < 2.3  # two blocks and the rounding
+        ratio = sum(got[s] for s in weight if weight[s] == 2) / max(1, sum(got[s] for s in weight if weight[s] == 1))
+        assert 1.8 < ratio < 2.2
