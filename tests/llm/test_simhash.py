@@ -155,3 +155,22 @@ def test_texts_that_share_a_passage_stay(spark, shared):
     passage = [f"p{i}" for i in range(shared)]
     rows = [(i, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(200 - shared)]), "s") for i in range(400)]
     assert simhash.drop_near_duplicates(documents(spark, rows)).count() == 400
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_classes_match_brute_force_at_the_limit(spark, seed):
+    """Edits near the limit, chains, dense groups, longer and shorter copies and shared passages: every pair of 0.8 is in one class."""
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(40):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(60, 200))]
+        for _ in range(rng.choice([2, 3, 40])):
+            edited = list(base)
+            for _ in range(rng.randint(0, 5)):
+                edited[rng.randrange(len(base))] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(edited[rng.randint(0, len(base) // 9):]))
+    passage = [f"p{i}" for i in range(160)]
+    texts += [" ".join(passage[: rng.randint(150, 160)] + [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(10, 40))]) for _ in range(60)]
+    want = {i for i, c in enumerate(plain_copies(texts)) if i == c}
+    got = {r.doc_id for r in simhash.drop_near_duplicates(documents(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert got == want and 40 < len(want) < len(texts)
