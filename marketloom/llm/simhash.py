@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.components import connected
 from ..session import cut
 from .common import null_safe_join
 
@@ -18,14 +19,6 @@ RADIUS = 4
 SEED = 42
 #: Rows of a bucket that one task takes; a larger bucket is dealt out as pairs of parts.
 PART_ROWS = 500_000
-#: Words of a shingle and least similarity (percent) of two texts when near copies are dropped.
-COPY_WORDS = 5
-PERCENT = 80
-#: Shingles are ordered by how many texts hold one of their bucket; counts go in CHUNKS rows. The order changes no result.
-BUCKET_BITS = 20
-CHUNKS = 256
-#: Rows of a shingle's list up to which pairs are formed at once when lists are thinned out.
-SHORT_LIST = 32
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -52,83 +45,6 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The distinct shingle hashes of a text; a text without words has the one shingle zero."""
-    hashes = shingle_hashes(text, words)
-    return np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
-
-
-def bucket_counts(docs: DataFrame, text: str, words: int) -> np.ndarray:
-    """For each bucket of shingles (top BUCKET_BITS bits of the hash) how often a row holds a shingle of it."""
-    width = (1 << BUCKET_BITS) // CHUNKS
-
-    def rows(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([v.astype(np.int64).tobytes() for v in sums.values()], pa.binary())], names=["chunk", "counts"]
-        )
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
-            for one in batch.column(0):
-                np.add.at(sums, (shingle_set(one.as_py(), words) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
-        if sums.any():
-            yield rows(dict(enumerate(sums.reshape(CHUNKS, width))))
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, np.int64)
-        if sums:
-            yield rows(sums)
-
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = "chunk int, counts binary"
-    found = docs.select(text).mapInArrow(count, schema).repartition(parts, "chunk").mapInArrow(add, schema).toArrow().to_pydict()
-    out = np.zeros((CHUNKS, width), np.int64)
-    for chunk, counts in zip(found["chunk"], found["counts"]):
-        out[chunk] = np.frombuffer(counts, np.int64)
-    return np.minimum(out.ravel(), 2**32 - 1).astype(np.uint32)
-
-
-def prefixes(docs: DataFrame, key: list[str], text: str, words: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(key columns, size, prefix): the number of distinct shingles of each text and the rarest of them, in order.
-
-    Two sets of a Jaccard similarity of ``percent`` have their first common shingle, by any order, among the first
-    n - ceil(n * percent / 100) + 1 of either set. With the rarest first, shared passages come last.
-    """
-    types = {f.name: f for f in docs.schema}
-    schema = ", ".join(f"`{k}` {types[k].dataType.simpleString()}" for k in key) + ", size int, prefix array<bigint>"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, heads = [], []
-            for one in batch.column(len(key)):
-                hashes = shingle_set(one.as_py(), words)
-                n = len(hashes)
-                sizes.append(n)
-                order = np.lexsort((hashes, counts[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))
-                heads.append(hashes[order[: n + -(n * percent) // 100 + 1]].view(np.int64))
-            ends = np.cumsum([0, *map(len, heads)]).astype(np.int32)
-            lists_ = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(heads) if heads else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(key)], pa.array(sizes, pa.int32()), lists_], names=[*key, "size", "prefix"])
-
-    return docs.select(*key, F.col(text).alias("_whole")).mapInArrow(run, schema)
-
-
-def shingle_sets(docs: DataFrame, node: str, text: str, words: int) -> DataFrame:
-    """(node, shingles): the distinct shingle hashes of each text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(one.as_py(), words).view(np.int64) for one in batch.column(1)]
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            lists_ = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists_], names=["node", "shingles"])
-
-    return docs.select(F.col(node).alias("node"), F.col(text).alias("_whole")).mapInArrow(run, "node bigint, shingles array<bigint>")
-
-
 def fingerprints(docs: DataFrame, key: list[str], text: str = "text", words: int = WORDS) -> DataFrame:
     """(key columns, fp): the SimHash of each whole text as a signed long. Null text: no words. No words: zero."""
     types = {f.name: f for f in docs.schema}
@@ -323,22 +239,10 @@ def links(fps: DataFrame, radius: int, part_rows: int = PART_ROWS) -> DataFrame:
 
 
 def components(links_: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(fp, label): for each linked fingerprint the smallest ``first`` reachable over the links.
-
-    ``nodes`` holds (fp, first). Each round every fingerprint takes the smallest label among its own and its
-    neighbours'; links are made so that none has many neighbours. Each round is written to
-    the shared folder; the rounds end when no label changes. Only a count comes to the driver.
-    """
-    both = cut(links_.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links_.select("b", "a")))
-    linked = both.select(F.col("u").alias("fp")).distinct()
-    labels = cut(linked.join(nodes, "fp").select("fp", F.col("first").alias("label"), F.lit(True).alias("moved")))
-    while True:
-        moved = labels.filter("moved").select(F.col("fp").alias("v"), "label")
-        best = both.join(moved, "v").groupBy(F.col("u").alias("fp")).agg(F.min("label").alias("_new"))
-        lower = F.coalesce(F.col("_new") < F.col("label"), F.col("_new").isNotNull() & F.col("label").isNull())
-        labels = cut(labels.join(best, "fp", "left").select("fp", F.when(lower, F.col("_new")).otherwise(F.col("label")).alias("label"), lower.alias("moved")))
-        if labels.filter("moved").isEmpty():
-            return labels.drop("moved")
+    """(fp, label): for each linked fingerprint the smallest ``first`` reachable over the links; ``nodes`` holds (fp, first)."""
+    roots = cut(connected(links_))
+    least = roots.join(nodes.withColumnRenamed("fp", "node"), "node").groupBy("root").agg(F.min("first").alias("label"))
+    return roots.join(least, "root").select(F.col("node").alias("fp"), "label")
 
 
 def near_duplicates(
@@ -363,138 +267,27 @@ def digest(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def _lists(rows: DataFrame, solve, schema: str) -> DataFrame:
-    """``solve`` over whole lists: ``rows`` (s first) are dealt by s, and columns reach it as arrays, some 200,000 rows at a time."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
-            if sum(h.shape[1] for h in held) < 200_000:
-                continue
-            all_ = np.concatenate(held, axis=1)
-            last = np.flatnonzero(all_[0, 1:] != all_[0, :-1])
-            end = last[-1] + 1 if len(last) else 0
-            held = [all_[:, end:]]
-            if end:
-                yield from solve(all_[:, :end])
-        if held and (all_ := np.concatenate(held, axis=1)).shape[1]:
-            yield from solve(all_)
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "s").sortWithinPartitions("s", "node").mapInArrow(run, schema)
-
-
-def can_be_near(size: np.ndarray, pos: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets whose first common shingle is at these places can have the similarity: what is left must suffice."""
-    need = -(-percent * (size[a] + size[b]) // (100 + percent))
-    return np.minimum(size[a] - pos[a], size[b] - pos[b]) >= need
-
-
-def list_pairs(s: np.ndarray, longest: int | None = None, rows: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of places in the same run of ``s``, in batches; with ``longest``, only those of runs up to it."""
-    starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    lengths = np.diff(np.concatenate((starts, [len(s)])))
-    after = np.repeat(starts + lengths, lengths) - np.arange(len(s)) - 1  # members behind each place
-    if longest is not None:
-        after = np.where(np.repeat(lengths, lengths) > longest, 0, after)
-    at = np.flatnonzero(after)
-    while len(at):
-        most = np.cumsum(after[at])
-        take = max(1, int(np.searchsorted(most, rows, "right")))
-        here, at = at[:take], at[take:]
-        n = after[here]
-        yield np.repeat(here, n), np.repeat(here, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + 1
-
-
-def shared_lists(nodes: DataFrame, percent: int) -> DataFrame:
-    """(s, node, size, pos): the lists of shingles that are in the prefix of several texts, without rows that no pair can need."""
-    def solve(x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        s, _, size, pos = x
-        starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-        lengths = np.diff(np.concatenate((starts, [len(s)])))
-        keep = np.repeat(lengths > SHORT_LIST, lengths)
-        for a, b in list_pairs(s, SHORT_LIST):
-            near = can_be_near(size, pos, a, b, percent)
-            keep[a[near]] = keep[b[near]] = True
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in x], names=["s", "node", "size", "pos"])
-
-    rows = nodes.select("node", "size", F.posexplode("prefix").alias("pos", "s"))
-    return _lists(rows.select("s", "node", "size", "pos"), solve, "s bigint, node bigint, size bigint, pos bigint")
-
-
-def candidates(lists_: DataFrame, labels: DataFrame | None, percent: int, salt: int | None) -> DataFrame:
-    """(a, b), a < b: pairs of a list that can be near and that are not of one class already.
-
-    With a ``salt``, the pairs of a tree over each list (``tree_links``, whose leaders go by the salt); without, every pair.
-    """
-    def solve(x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        s, node, size, pos, label = x
-        starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-        mixed = np.repeat(np.minimum.reduceat(label, starts) != np.maximum.reduceat(label, starts), np.diff(np.concatenate((starts, [len(s)]))))
-        s, node, size, pos, label = (c[mixed] for c in (s, node, size, pos, label))
-        if not len(s):
-            return
-        name = (node.view(np.uint64) * np.uint64(2 * (salt or 0) + 1)).view(np.int64)
-        of = np.cumsum(np.concatenate(([False], s[1:] != s[:-1])))
-        for a, b in list_pairs(s) if salt is None else [tree_links(of, name)]:
-            open_ = (label[a] != label[b]) & can_be_near(size, pos, a, b, percent)
-            low, high = np.minimum(node[a], node[b])[open_], np.maximum(node[a], node[b])[open_]
-            pairs = np.unique(np.stack((low, high)), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    own = lists_.withColumn("label", F.col("node")) if labels is None else lists_.join(
-        labels.withColumnRenamed("fp", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    return _lists(own.select("s", "node", "size", "pos", "label"), solve, "a bigint, b bigint").distinct()
-
-
-def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose shingle sets have the similarity, compared whole."""
-    both = pairs.join(sets.toDF("a", "_x"), "a").join(sets.toDF("b", "_y"), "b").select(
-        "a", "b", F.size(F.array_intersect("_x", "_y")).alias("_both"), (F.size("_x") + F.size("_y")).alias("_sum"))
-    return both.filter(F.col("_both") * (100 + percent) >= F.col("_sum") * percent).select("a", "b")
-
-
-def text_classes(docs: DataFrame, key: str, text: str, words: int = COPY_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(node, first, label): for each distinct text hash its smallest key and the smallest key of its class.
-
-    Two texts are linked if their sets of ``words``-word shingles have a Jaccard similarity of ``percent`` at least, and
-    classes are the components of that graph: no pair is missed and no link is taken unverified. Candidates share a
-    shingle of their prefixes (``prefixes``). A list of texts that share one is first linked by two trees with different
-    leaders, so that a dense class costs about two pairs a text; then every pair of a list that is still between two
-    classes is compared, so a tree's edge that fails cuts nothing off.
-    """
-    node = text + "_id"
-    marked = prefixes(docs, [key, node], text, words, percent, bucket_counts(docs, text, words))
-    nodes = cut(marked.groupBy(F.col(node).alias("node")).agg(F.min(key).alias("first"), F.first(F.struct("size", "prefix")).alias("_p")).select("node", "first", "_p.*"))
-    lists_ = cut(shared_lists(nodes, percent))
-    wanted = cut(lists_.select("node").distinct())
-    texts = docs.select(F.col(node).alias("node"), text).join(wanted, "node", "left_semi")
-    sets = cut(shingle_sets(texts, "node", text, words).groupBy("node").agg(F.first("shingles").alias("shingles")))
-    by_node = nodes.select(F.col("node").alias("fp"), F.col("node").alias("first"))
-    edges = cut(near_pairs(candidates(lists_, None, percent, 0), sets, percent))
-    for salt in (0x2545F4914F6CDD1D, None):
-        edges = cut(edges.union(near_pairs(candidates(lists_, components(edges, by_node), percent, salt), sets, percent)))
-    labels = components(edges, nodes.select(F.col("node").alias("fp"), "first"))
-    return nodes.select("node", "first").join(labels.withColumnRenamed("fp", "node"), "node", "left").select(
-        "node", "first", F.coalesce("label", "first").alias("label")
-    )
-
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate class (``near_duplicates``): the one with the smallest key.
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = COPY_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each class of near copies (``text_classes``): the one with the smallest key.
+    Classes are those of the fingerprints, so a row without a key stays only if its class has no key, and repeated
+    keys whose texts are of different classes leave one row in each. Rows that share the smallest key are told apart by
+    a hash of their texts, wholly repeated rows by nothing: one stays. A null text is an empty one, and all texts
+    without words are one class. An empty table gives an empty table. All columns pass through under any name.
 
-    Rows that share the key and the text are one document, of which one row stays. Rows without a key stay, one for
-    each text, unless their class has a key. A null text is an empty one, and empty texts are one class. All columns
-    pass through.
+    Classes are found on keys, text hashes and fingerprints; the texts are read twice and shuffled once, to meet the
+    rows that stay.
     """
     own = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
     key, text = own[key], own[text]
     same = f"{text}_id"
     df = docs.toDF(*own.values()).withColumn(same, F.xxhash64(F.coalesce(text, F.lit(""))))
-    classes = text_classes(df, key, text, words, percent)
-    keep = cut(classes.filter(F.col("first").eqNullSafe(F.col("label"))).select(F.col("first").alias(key), F.col("node").alias(same)))
+    marked = cut(fingerprints(df, [key, same], text, words))
+    first = F.min(F.struct(F.col(key).isNull().alias("_none"), F.col(key), F.col(same))).alias("_first")
+    nodes = cut(marked.groupBy("fp").agg(first))
+    found = components(links(nodes.select("fp", F.col("fp").alias("name"), F.lit(0).alias("t")), radius), nodes.select("fp", F.col("fp").alias("first")))
+    classes = nodes.join(found, "fp", "left").groupBy(F.coalesce("label", "fp").alias("label")).agg(F.min("_first").alias("_first"))
+    keep = cut(classes.select(f"_first.{key}", f"_first.{same}"))
     kept = null_safe_join(df, keep, [key, same], "left_semi")
     once = F.row_number().over(Window.partitionBy(key, same).orderBy(*[F.col(c) for c in own.values() if c not in (key, text)]))
     return kept.withColumn("_once", once).filter("_once = 1").select(*[F.col(v).alias(k) for k, v in own.items()])
