@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunks, decontaminate, kneser_ney, mixture, preference, quality, shards, simhash, site_lines, toxicity
+from . import chunks, decontaminate, kneser_ney, language, mixture, negatives, preference, quality, repair, shards, simhash, site_lines, toxicity
 from .common import table
 
 SHARDS = 40
@@ -58,8 +58,24 @@ def op10_simhash_components(spark, sf):
     return simhash.digest(table(spark, sf, "documents"))
 
 
+def op11_language_spans(spark, sf):
+    """The language of all documents, from spans of one language."""
+    return language.digest(table(spark, sf, "documents"))
+
+
+def op12_conversation_repair(spark, sf):
+    """The cheapest repair of all conversations after damage."""
+    return repair.digest(table(spark, sf, "conversations"))
+
+
+def op13_hard_negatives(spark, sf):
+    """Hard negatives for every positive of every anchor, among all embeddings."""
+    return negatives.digest(table(spark, sf, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_stratified_shards, op2_kneser_ney, op3_preference_pairs, op4_toxic_segments, op5_chunk_fingerprints, op6_benchmark_leaks,
-    op7_pfair_mixture, op8_quality_ftrl, op9_site_lines, op10_simhash_components,
+    op7_pfair_mixture, op8_quality_ftrl, op9_site_lines, op10_simhash_components, op11_language_spans, op12_conversation_repair,
+    op13_hard_negatives,
 )}
 ORACLE: dict[str, str] = {"op1_stratified_shards": shards.sql(SHARDS), "op7_pfair_mixture": mixture.sql(), "op9_site_lines": site_lines.sql()}
