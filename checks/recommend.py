@@ -298,7 +298,7 @@ def _chain_oracle() -> str:
 def fallback_chain(spark, sf):
     basis = D.Basis(lines(spark, sf), tables(spark, sf).products)
     typed = D._typed_targets(targets(spark, sf), basis)
-    scored = D._as_cooccurrence_rows(D.cooccurrence_candidates(typed, basis), basis.products)
+    scored = D._as_cooccurrence_rows(D.cooccurrence_shortlist(typed, basis, CHAIN_SIZE), basis.products)
     filled = D.discovery_fallback_chain(scored, typed, basis, CHAIN_SIZE)
     chosen = D.diversity_rerank(filled, 3)
     return chosen.select(*DISC.split(", "), round6(F.col("score")).alias("score"), joined(F.col("reason_codes")).alias("reason_codes"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocked import sums
+
 #: Baskets with more distinct products than this are split into blocks of about this size.
 BLOCK = 256
 
@@ -47,14 +49,9 @@ def basket_pairs(lines: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def history_x_cooccurrence(history: DataFrame, edges: DataFrame) -> DataFrame:
-    """Raw scores (customer, candidate): pair counts summed over the customer's products.
+    """Raw scores (customer_id, product_id, raw): pair counts summed over the customer's products.
 
-    Products bought already are scored too, because the customer's largest raw score counts them.
-    A popular product is a hot key on the history side; the join's output is shuffled again for the
-    sum, so adaptive execution is free to split that key.
+    Products bought already are scored too, because the customer's largest raw score counts them. ``history`` holds
+    distinct pairs. The sums are made block by block (``blocked``), so no row of a purchase and an edge is shuffled.
     """
-    # Few purchases meet many edges each, so they are dealt out evenly before the join.
-    parts = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = history.select("customer_id", F.col("product_id").alias("product_a")).repartition(parts, "customer_id", "product_a")
-    scored = dealt.join(edges, "product_a")
-    return scored.groupBy("customer_id", F.col("product_b").alias("product_id")).agg(F.sum("n").alias("raw"))
+    return sums(history, edges)

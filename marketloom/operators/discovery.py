@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +15,9 @@ from ..functions.reasons import DISCOVERY_DEFAULT, DISCOVERY_WORDING, code, join
 from ..functions.seasons import seasonal_flag
 from ..session import cut
 from .baskets import basket_pairs
-from .lines import customer_types, keyed, next_day, product_popularity, segment_popularity
-from .ranking import ranked, top_k
+from .blocked import Block, blocked_product
+from .lines import customer_types, keyed, product_popularity, segment_popularity
+from .ranking import placed, top_k
 
 COOCCURRENCE = "co_occurrence_discovery"
 SEGMENT_POPULARITY = "segment_popularity_discovery"
@@ -43,18 +47,29 @@ def purchase_pairs(lines: DataFrame) -> DataFrame:
 class Basis:
     """What discovery reads from order lines, each made once and shared by all methods.
 
-    Lines are scanned three times: for purchases, for sales and for baskets. Each result is far
-    smaller than the lines and is read many times, so it is written to the shared folder.
+    Lines are scanned twice: for one roll-up by customer, product and type, from which purchases, sales, types and the last
+    day follow, and for baskets. Both are far smaller than the lines and are read many times, so they are written to
+    the shared folder.
     """
 
     def __init__(self, lines: DataFrame, products: DataFrame, as_of: Column | None = None):
         self.lines, self.products = lines, products
-        self.as_of = next_day(lines) if as_of is None else as_of
+        self.given = as_of
+
+    @cached_property
+    def rolled(self) -> DataFrame:
+        """Quantity and last day by customer, product and customer type, each of which may be null."""
+        return cut(self.lines.groupBy("customer_id", "product_id", "customer_type").agg(F.sum("quantity").alias("quantity"), F.max("order_date").alias("last_day")))
+
+    @cached_property
+    def as_of(self) -> Column:
+        """The day after the last order, unless given: one date, looked up once."""
+        return F.date_add(F.lit(self.rolled.agg(F.max("last_day")).first()[0]).cast("date"), 1) if self.given is None else self.given
 
     @cached_property
     def purchases(self) -> DataFrame:
         """Distinct (customer, product) with the customer's type."""
-        return cut(keyed(self.lines).groupBy("customer_id", "product_id").agg(F.min("customer_type").alias("customer_type")))
+        return cut(keyed(self.rolled).groupBy("customer_id", "product_id").agg(F.min("customer_type").alias("customer_type")))
 
     @cached_property
     def history(self) -> DataFrame:
@@ -67,7 +82,7 @@ class Basis:
     @cached_property
     def sales(self) -> DataFrame:
         """Quantity per customer type and product (the type may be null)."""
-        sold = self.lines.filter(F.col("product_id").isNotNull())
+        sold = self.rolled.filter(F.col("product_id").isNotNull())
         return cut(sold.groupBy("customer_type", "product_id").agg(F.sum("quantity").alias("quantity")))
 
     @cached_property
@@ -180,12 +195,14 @@ def rank_lists(popularity: DataFrame) -> DataFrame:
     """Adds each product's place in its list, its place among its producer's products, and - on the
     producer's best product - the producer's place in the list."""
     order = [F.desc("score"), F.asc("product_id")]
-    placed = ranked(popularity, ["list"], order).withColumnRenamed("rank", "place")
-    # Places are unique per list, so they order a producer's products too; one producer may have most of them.
-    placed = ranked(placed, ["list", "producer_id"], [F.asc("place")]).withColumnRenamed("rank", "producer_place")
-    heads = ranked(placed.filter("producer_place = 1").select("list", "producer_id", "place"), ["list"], [F.asc("place")])
-    heads = heads.select("list", "producer_id", F.col("rank").alias("producer_rank"))
-    return placed.join(heads, ["list", "producer_id"], "left")
+    # The lists are small beside the purchases. They are written once to be measured: a list or a producer of more
+    # rows than a task should number is spread.
+    listed = placed(cut(popularity), ["list"], order, "place")
+    # Places are unique per list, so they order a producer's products too.
+    listed = placed(listed, ["list", "producer_id"], [F.asc("place")], "producer_place")
+    heads = listed.filter("producer_place = 1").select("list", "producer_id", "place")
+    heads = placed(heads, ["list"], [F.asc("place")], "producer_rank").select("list", "producer_id", "producer_rank")
+    return listed.join(heads, ["list", "producer_id"], "left")
 
 
 def _unbought_places(taken: DataFrame, place: str, k: int, out: str) -> DataFrame:
@@ -311,71 +328,121 @@ def _discover_popular(targets: DataFrame, basis: Basis, method: str, k: int) ->
 # --- co-occurrence -------------------------------------------------------------------------------
 
 
-def raw_scores(own: DataFrame, edges: DataFrame) -> DataFrame:
-    """Raw scores (customer, candidate) with ``bought`` = 1 on products the customer already has.
+def high_enough(score: np.ndarray, producer: np.ndarray, k: int) -> np.ndarray:
+    """Places, in order, of the scores above a floor under which none of one customer's can be in a shortlist of k.
 
-    Purchases go into the same sum as rows of weight 0, so marking them costs no join.
+    Scores from the floor up are those of at least k producers, or all. The floor is looked for among the best few
+    scores first. It lies two units of the last rounded place lower, so rounding changes nothing.
     """
-    # Each purchase meets every edge of its product, so a small file of purchases is a lot of work:
-    # it is dealt out by (customer, product) first, which also deals out a popular product. When
-    # the edges are too large to broadcast, adaptive execution splits such a product instead.
-    own = own.repartition(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), "customer_id", "product_id")
-    scored = own.withColumnRenamed("product_id", "product_a").join(edges, "product_a").select(
-        "customer_id", F.col("product_b").alias("product_id"), "n", F.lit(0).alias("bought")
-    )
-    marks = own.select("customer_id", "product_id", F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("bought"))
-    return scored.unionByName(marks).groupBy("customer_id", "product_id").agg(
-        F.sum("n").alias("raw"), F.max("bought").alias("bought")
-    )
-
-
-def cooccurrence_candidates(targets: DataFrame, basis: Basis) -> DataFrame:
-    """Every scored co-occurrence candidate of every target customer, as narrow numeric rows.
-
-    Names, components and codes are added by ``_as_cooccurrence_rows`` to the few that stay.
+    n = len(score)
+    few = 16 * k
+    while few < n:
+        floor = np.partition(score, n - few)[n - few]
+        if len(np.unique(producer[score >= floor])) >= k:
+            return np.flatnonzero(score >= floor - 2e-6)
+        few *= 8
+    return np.arange(n)
+
+
+def reachable(customer: np.ndarray, product: np.ndarray, producer: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Which candidates (sorted by customer) can be in a shortlist of k, when scores are rounded to 6 places.
+
+    A rounded score is known here up to the way a half is rounded, so each candidate has a lowest and a highest value.
+    One is kept if by its highest value it is among the first k by lowest values, or leads its producer and that
+    producer the list down to the k-th. Equal scores go by product.
+    """
+    low, high = np.floor(score * 1e6 + 0.499), np.floor(score * 1e6 + 0.501)
+
+    def at_least(limit: np.ndarray) -> np.ndarray:
+        """Whether a candidate's highest value reaches that of candidate ``limit`` (its index; -1: no limit)."""
+        return (limit < 0) | (high > low[limit]) | ((high == low[limit]) & (product <= product[limit]))
+
+    def kth(order: np.ndarray) -> np.ndarray:
+        """For each candidate the k-th of its customer in ``order`` (indices, sorted by customer), or -1."""
+        who = customer[order]
+        first = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
+        last = np.concatenate((first[1:], [len(who)]))
+        limit = np.where(last - first >= k, order[np.minimum(first + k - 1, len(order) - 1)], -1)
+        return limit[np.searchsorted(who[first], customer)]
+
+    if not len(customer):
+        return np.zeros(0, bool)
+    order = np.lexsort((product, -low, customer))
+    grouped = np.lexsort((product, -low, producer, customer))
+    head = np.concatenate(([True], (customer[grouped][1:] != customer[grouped][:-1]) | (producer[grouped][1:] != producer[grouped][:-1])))
+    leader = np.empty(len(customer), np.int64)
+    leader[grouped] = grouped[np.maximum.accumulate(np.where(head, np.arange(len(grouped)), 0))]
+    heads = grouped[head]
+    heads = heads[np.lexsort((product[heads], -low[heads], customer[heads]))]
+    return at_least(kth(order)) | (at_least(leader) & at_least(kth(heads)))
+
+
+def cooccurrence_shortlist(targets: DataFrame, basis: Basis, k: int) -> DataFrame:
+    """The at most 2k co-occurrence candidates per target customer that a greedy choice of k can look at.
+
+    Sums, largest sum and scores of a block of customers are made in one task (``blocked_product``), which returns the
+    candidates within reach (``reachable``); the exact scores and the cut are made from those. A customer has fewer
+    than k rows only if the customer has fewer than k candidates.
     """
     season = seasonal_flag(F.month(basis.as_of), F.col("seasonal_start_month"), F.col("seasonal_end_month"))
     segment = segment_popularity(basis.sales).select("customer_type", "product_id", F.col("popularity").alias("_segment"))
-    # A product brings its score in every customer type along (types are few), so the big table meets products once.
+    # A product brings its score in every customer type along; types are few.
     by_type = segment.filter("customer_type IS NOT NULL").groupBy("product_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("customer_type", "_segment"))).alias("_by_type")
-    )
-    listed = basis.products.select("product_id", "producer_id", season.alias("_season")).join(by_type, "product_id", "left")
-    # The raw scores are the big table of this job and are read three times from here on.
-    raw = cut(raw_scores(basis.history.join(targets.select("customer_id"), "customer_id"), basis.edges))
-    # The largest raw score counts products that were bought or are unlisted.
-    largest = raw.groupBy("customer_id").agg(F.max("raw").alias("_largest")).join(targets.select("customer_id", "customer_type"), "customer_id")
-    parts = (
-        raw.filter((F.col("bought") == 0) & (F.col("raw") > 0))
-        .join(listed, "product_id")
-        .join(largest, "customer_id")
-        .withColumn("_co", F.col("raw") / F.col("_largest"))
-        .withColumn("_segment", F.coalesce(F.col("_by_type")[F.col("customer_type")], F.lit(0.0)))
-    )
-    score = (
-        F.col("_co") * COOCCURRENCE_WEIGHT + F.col("_segment") * SEGMENT_WEIGHT + F.col("_season") * COOCCURRENCE_SEASON_WEIGHT
+        F.map_from_entries(F.collect_list(F.struct("customer_type", "_segment"))).alias("by_type")
     )
-    return parts.select(
-        "customer_id", "customer_type", "product_id", "producer_id", round6(clamp01(score)).alias("score"), "_co", "_segment", "_season"
+    # A producer is known by the smallest of its products.
+    made_by = basis.products.groupBy(F.col("producer_id").alias("_maker")).agg(F.min("product_id").alias("producer"))
+    listed = basis.products.join(made_by, F.col("producer_id").eqNullSafe(F.col("_maker"))).select(
+        "product_id", F.lit(True).alias("listed"), "producer_id", "producer", season.alias("season")
     )
-
-
-def within_reach(candidates: DataFrame, k: int, steps: int = 200) -> DataFrame:
-    """Drops candidates that cannot be in a shortlist of k, before any row is sorted.
-
-    Scores are put in ``steps`` bands. Per customer and band a 63-bit mask of hashed producers is
-    kept, which is map-side combined to a few numbers per customer. Going down the bands, once the
-    masks together show k different bits there are at least k producers, hence at least k rows, in
-    these bands, and everything below is out of reach. Hash collisions only make it keep more.
-    """
-    band = F.floor(F.col("score") * steps).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.hash("producer_id"), F.lit(63)))
-    masks = candidates.groupBy("customer_id", band.alias("_band")).agg(F.bit_or(bit).alias("_mask"))
-    down = Window.partitionBy("customer_id").orderBy(F.desc("_band"))
-    seen = masks.withColumn("_bits", F.bit_count(F.bit_or("_mask").over(down)))
-    floors = seen.filter(F.col("_bits") >= k).groupBy("customer_id").agg(F.max("_band").alias("_floor"))
-    kept = candidates.join(floors, "customer_id", "left").filter(band >= F.coalesce("_floor", F.lit(0)))
-    return kept.drop("_floor")
+    products = basis.edges.select(F.col("product_a").alias("product_id")).distinct().join(listed, "product_id", "left").join(by_type, "product_id", "left")
+    wanted = targets.select("customer_id", "customer_type")
+    history = basis.history.join(wanted.select("customer_id"), "customer_id", "left_semi")
+    kinds = {c: (wanted if c == "customer_id" else products).schema[c].dataType.simpleString() for c in ("customer_id", "product_id", "producer_id")}
+
+    def finish(block: Block) -> Iterator[pa.RecordBatch]:
+        if not block.rows:
+            return
+        people = block.table(block.customers, ["number", "customer_id", "customer_type"])
+        things = block.table(block.products, ["product_id", "listed", "producer_id", "producer", "season", "by_type"])
+        on_list = things["listed"].fill_null(False).to_numpy()
+        season_of = things["season"].cast("double").fill_null(0.0).to_numpy()
+        kinds_of = people["customer_type"].to_pylist()
+        by_type = things["by_type"].combine_chunks()
+        entry_of = np.repeat(np.arange(len(by_type)), np.diff(by_type.offsets.to_numpy()))
+        entry_type, entry_score = by_type.keys.to_numpy(zero_copy_only=False), by_type.items.to_numpy()
+        segments = {}
+        for kind in set(kinds_of):
+            segments[kind] = np.zeros(len(by_type))
+            if kind is not None:
+                own = entry_type == kind
+                segments[kind][entry_of[own]] = entry_score[own]
+        producer_of = np.unique(np.asarray(things["producer"].fill_null(things["product_id"][0]).to_pylist()), return_inverse=True)[1]
+        found = []
+        for customer, product, raw, bought in block.sums():
+            largest = raw.max()
+            fit = ~bought & (raw > 0) & on_list[product]
+            product, raw = product[fit], raw[fit]
+            segment = segments[kinds_of[customer]][product]
+            score = np.clip(raw / largest * COOCCURRENCE_WEIGHT + segment * SEGMENT_WEIGHT + season_of[product] * COOCCURRENCE_SEASON_WEIGHT, 0.0, 1.0)
+            some = high_enough(score, producer_of[product], k)
+            found.append((np.full(len(some), customer), product[some], raw[some], np.full(len(some), largest), segment[some], score[some]))
+        customer, product, raw, largest, segment, score = (np.concatenate(x) for x in zip(*found))
+        near = reachable(customer, product, producer_of[product], score, k)
+        customer, product = pa.array(customer[near]), pa.array(product[near])
+        yield pa.RecordBatch.from_arrays([
+            *(people[c].take(customer).combine_chunks() for c in ("customer_id", "customer_type")),
+            *(things[c].take(product).combine_chunks() for c in ("product_id", "producer_id")),
+            pa.array(raw[near]), pa.array(largest[near]), pa.array(segment[near]), pa.array(season_of).take(product),
+        ], names=["customer_id", "customer_type", "product_id", "producer_id", "raw", "_largest", "_segment", "_season"])
+
+    schema = ", ".join([
+        f"customer_id {kinds['customer_id']}, customer_type string, product_id {kinds['product_id']}, producer_id {kinds['producer_id']}",
+        "raw bigint, _largest bigint, _segment double, _season double",
+    ])
+    near = blocked_product(history, basis.edges, wanted, products, finish, schema).withColumn("_co", F.col("raw") / F.col("_largest"))
+    score = F.col("_co") * COOCCURRENCE_WEIGHT + F.col("_segment") * SEGMENT_WEIGHT + F.col("_season") * COOCCURRENCE_SEASON_WEIGHT
+    return shortlist(near.withColumn("score", round6(clamp01(score))).drop("raw", "_largest"), k)
 
 
 def _as_cooccurrence_rows(scored: DataFrame, products: DataFrame) -> DataFrame:
@@ -457,11 +524,7 @@ def discovery_fallback_chain(candidates: DataFrame, targets: DataFrame, basis: B
 
 
 def _discover_cooccurring(targets: DataFrame, basis: Basis, k: int) -> DataFrame:
-    # What follows reads the candidates several times. The shortlist, at most 2k rows a customer, is
-    # all it needs - it has fewer than k rows only when the customer has fewer than k candidates -
-    # so that is written once.
-    near = shortlist(within_reach(cooccurrence_candidates(targets, basis), k), k)
-    near = cut(_as_cooccurrence_rows(near, basis.products))
+    near = cut(_as_cooccurrence_rows(cooccurrence_shortlist(targets, basis, k), basis.products))
     filled = discovery_fallback_chain(near, targets, basis, k)
     return _based_on(diversity_rerank(filled, k), basis.history, basis.edges)
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
+#: Rows that one task may number; a larger group is spread.
+ROWS = 1_000_000
+
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], total_of: str | None = None) -> DataFrame:
     """Exact 1-based ``rank`` of every row in its group, whatever the group sizes.
@@ -53,6 +56,18 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], total_of: str |
     return out.select(*df.columns, "rank", *(["running"] if total_of else []))
 
 
+def placed(df: DataFrame, group: list[str], order: list[Column], rank: str = "rank", rows: int = ROWS) -> DataFrame:
+    """Exact 1-based ``rank`` of every row in its group: by a window if no group has more than ``rows``, else as ``ranked``.
+
+    The largest group is counted first, so ``df`` should be a written table. Both ways number alike.
+    """
+    largest = (df.groupBy(*group).agg(F.count("*").alias("_n")) if group else df.agg(F.count("*").alias("_n"))).agg(F.max("_n")).first()[0]
+    if (largest or 0) > rows:
+        return ranked(df, group, order).withColumnRenamed("rank", rank)
+    window = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    return df.withColumn(rank, F.row_number().over(window.orderBy(*order)).cast("bigint"))
+
+
 def with_group_max(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
     """Adds the largest ``value`` of the row's group as ``out``.
 

@@ -1,16 +1,18 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import baskets as B
+from marketloom.operators import blocked
 from marketloom.operators import demand as M
 from marketloom.operators import discovery as D
 from marketloom.operators import fairness as X
 from marketloom.operators import lines as L
 from marketloom.operators import reorder as R
-from marketloom.operators.ranking import ranked
+from marketloom.operators.ranking import placed, ranked
 from marketloom.plans import evaluation as E
 from tests.market import ids, rows, tables
 
@@ -116,7 +118,7 @@ def test_diversity_rerank_equals_a_plain_replay_of_the_rule(spark):
     )
     for k in (1, 3, 5):
         got = {}
-        for r in D.diversity_rerank(D.within_reach(df, k), k).collect():
+        for r in D.diversity_rerank(df, k).collect():
             got.setdefault(r.customer_id, []).append(
                 (r["rank"], r.product_id, "producer_diversity_applied" in r.reason_codes, "limited_diversity_candidates" in r.reason_codes)
             )
@@ -215,3 +217,55 @@ def test_demand_average_uses_observed_weeks(spark):
     known, unknown = M.producer_forecast_lookup(M.demand_forecast(trend), requested, t.producers.limit(0).unionByName(spark.createDataFrame([("PR", "n", "a")], t.producers.schema)))
     assert rows(known, "alert_text") == [("High demand expected for Name next week based on recent order trends.",)]
     assert rows(unknown, "producer_id") == [("PX",)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_what_can_be_in_a_shortlist_is_kept(seed):
+    """Against a plain shortlist over all candidates, with many ties and producers of very different size."""
+    rng = np.random.default_rng(seed)
+    for k in (1, 3, 5):
+        kept, all_ = [], []
+        for c in range(40):
+            n = int(rng.choice([1, 3, 40, 900]))
+            score = np.round(rng.random(n) ** 2, int(rng.choice([1, 2, 7])))
+            producer = rng.integers(0, int(rng.choice([1, 2, 30])), n)
+            some = D.high_enough(score, producer, k)
+            all_ += [(c, p, int(producer[p]), float(np.rint(score[p] * 1e6))) for p in range(n)]
+            kept += [(c, int(p), int(producer[p]), float(score[p])) for p in some]
+        columns = [np.array(x) for x in zip(*kept)]
+        near = {r[:2] for r, fit in zip(kept, D.reachable(*columns, k)) if fit}
+        for c in range(40):
+            own = sorted((-s, p, m) for w, p, m, s in all_ if w == c)
+            heads = list({m: (s, p) for s, p, m in reversed(own)}.values())
+            want = {p for _, p, _ in own[:k]} | {p for _, p in sorted(heads)[:k]}
+            assert {(c, p) for p in want} <= near
+        assert len(near) <= 40 * 2 * k + 40
+
+
+def test_blocked_sums_equal_a_plain_loop(spark, monkeypatch):
+    """Small blocks, rows and batches; a customer who bought everything, a product that everyone bought, text ids."""
+    monkeypatch.setattr(blocked, "NEIGHBOURS", 7)
+    monkeypatch.setattr(blocked, "WAITING", 50)
+    rng = random.Random(4)
+    history = {(f"c{c}", f"p{p:02d}") for c in range(150) for p in rng.sample(range(60), 4)} | {("c0", f"p{p:02d}") for p in range(60)} | {(f"c{c}", "p07") for c in range(150)}
+    pairs = {(a, b): rng.randint(1, 5) for a in range(50) for b in range(a) if rng.random() < 0.4}
+    edges = [(f"p{a:02d}", f"p{b:02d}", n) for (x, y), n in pairs.items() for a, b in ((x, y), (y, x))]
+    want = {}
+    for c, a in history:
+        for x, b, n in edges:
+            if x == a:
+                want[c, b] = want.get((c, b), 0) + n
+    got = B.history_x_cooccurrence(spark.createDataFrame(sorted(history), "customer_id string, product_id string"), spark.createDataFrame(edges, "product_a string, product_b string, n bigint"))
+    assert {(r.customer_id, r.product_id): r.raw for r in got.collect()} == want
+    nothing = B.history_x_cooccurrence(spark.createDataFrame([], "customer_id string, product_id string"), spark.createDataFrame(edges, "product_a string, product_b string, n bigint"))
+    assert nothing.count() == 0
+
+
+@pytest.mark.parametrize("rows", [1, 10**6])
+def test_measured_ranks_are_exact(spark, rows):
+    data = [(i, i % 3, (i * 7) % 101) for i in range(101)]
+    df = spark.createDataFrame(data, "id long, g long, v long")
+    got = {r.id: r["rank"] for r in placed(df, ["g"], [F.asc("v")], rows=rows).collect()}
+    for g in range(3):
+        order = sorted((v, i) for i, gg, v in data if gg == g)
+        assert all(got[i] == at + 1 for at, (_, i) in enumerate(order))
