@@ -9,6 +9,7 @@ from marketloom.functions.numbers import round6
 from marketloom.operators import catalog as Ca
 from marketloom.operators import monitoring as Mo
 from marketloom.operators import orders as O
+from marketloom.operators.ranking import ranked
 from marketloom.session import fresh_path
 from marketloom.sources import logs
 from marketloom.sources import retail_star as star
@@ -331,24 +332,52 @@ def _write_log(spark, df: DataFrame, label: str, files: int = 4) -> str:
     return path
 
 
-@register("event_log_source", query("SELECT event_type, count(*) AS n, count(DISTINCT producer_id) AS producers, min(created_at) AS first_time, max(created_at) AS last_time FROM pe GROUP BY 1", "pe"))
+APPENDS = 3
+
+
+def _append(spark, valid: DataFrame, path: str, which: int) -> None:
+    """One of APPENDS appends of the events, which are cut by position."""
+    last = valid.agg(F.max("seq")).first()[0] or 0
+    at = F.col("seq") * APPENDS
+    logs.append_log(valid.filter((at > last * which if which else F.lit(True)) & (at <= last * (which + 1))), None, path)
+
+
+LOG_COLUMNS = "event_type, producer_id, producer_name, created_at, source"
+
+
+@register("event_log_source", query(f"SELECT row_number() OVER (ORDER BY seq) AS place, {LOG_COLUMNS} FROM pe", "pe"))
 def event_log_source(spark, sf):
-    path = _write_log(spark, star.producer_events(spark, sf).drop("seq"), "producers")
+    """A log of three appends, read back: every event, placed by its position in the log."""
+    path, events = fresh_path(spark, "log-producers"), star.producer_events(spark, sf)
+    for which in range(APPENDS):
+        _append(spark, events, path, which)
     log = logs.read_log(spark, path, "producer", ids="bigint")
-    return log.groupBy("event_type").agg(
-        F.count("seq").alias("n"), F.countDistinct("producer_id").alias("producers"), F.min("created_at").alias("first_time"), F.max("created_at").alias("last_time")
-    )
+    return ranked(log, [], [F.col("seq")]).select(F.col("rank").alias("place"), *LOG_COLUMNS.split(", "))
 
 
-@register("event_log_sink", query("SELECT coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n FROM pe_checked GROUP BY 1", "pe_checked"))
+@register("event_log_sink", query(f"""SELECT coalesce(reject_reason, 'accepted') AS outcome, {LOG_COLUMNS.replace('producer_name', "CASE WHEN reject_reason IS NULL THEN trim(producer_name) ELSE producer_name END AS producer_name")}
+    FROM pe_checked""", "pe_checked"))
 def event_log_sink(spark, sf):
-    """Appends valid events to a log and the others to a quarantine, then counts both."""
+    """Appends valid events to a log and the others to a quarantine, and reads both back with their types."""
     path, held = fresh_path(spark, "sink"), fresh_path(spark, "quarantine")
     valid, rejected = Ca.normalise_producer_events(star.producer_events(spark, sf))
-    logs.append_log(valid.drop("seq"), rejected, path, held)
-    good = logs.read_log(spark, path, "producer", ids="bigint").select(F.lit("accepted").alias("outcome"))
-    bad = spark.read.schema("reject_reason string").json(held).select(F.col("reject_reason").alias("outcome"))
-    return good.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("n"))
+    logs.append_log(valid, rejected, path, held)
+    columns = LOG_COLUMNS.split(", ")
+    good = logs.read_log(spark, path, "producer", ids="bigint").select(F.lit("accepted").alias("outcome"), *columns)
+    bad = spark.read.schema(logs.log_schema("producer", "bigint") + ", reject_reason string").json(held)
+    return good.unionByName(bad.select(F.col("reject_reason").alias("outcome"), *columns))
+
+
+@register("event_latest_upsert_stream", query("SELECT producer_id, producer_name, created_at FROM pe_latest", "pe_latest"))
+def event_latest_upsert_stream(spark, sf):
+    """The latest event per producer as a stream's keyed state: two appends in many micro-batches, a stop, a restart after the third."""
+    path, checkpoint = fresh_path(spark, "log-latest"), J.checkpoint_for(spark, "latest")
+    valid = Ca.normalise_producer_events(star.producer_events(spark, sf))[0]
+    for which in range(APPENDS):
+        _append(spark, valid, path, which)
+        if which:
+            J.keep_latest(logs.stream_log(spark, path, "producer", files_per_batch=5, ids="bigint"), "producer_id", checkpoint)
+    return J.latest_state(spark, checkpoint).select("producer_id", "producer_name", "created_at")
 
 
 ORDER_STREAM = "order_id bigint, customer_id bigint, order_date string, items array<struct<product_id:bigint,quantity:double,unit_price:double>>, event_ts timestamp"

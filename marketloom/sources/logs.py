@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -42,40 +44,65 @@ LOG_SCHEMAS = {
 }
 
 
+SEQ = "struct<append:bigint,row:bigint,file:string,part:bigint,line:bigint>"
+
+
+def log_schema(kind: str, ids: str = "string") -> str:
+    """The schema of a log's lines, with ids of another type where wanted, and the position that ``append_log`` writes."""
+    schema = LOG_SCHEMAS[kind]
+    if ids != "string":
+        schema = schema.replace("_id string", f"_id {ids}").replace("_id:string", f"_id:{ids}")
+    return schema + ", position struct<append:bigint,row:bigint>"
+
+
+def with_seq(events: DataFrame, line: Column) -> DataFrame:
+    """Replaces ``position`` by ``seq``, a value that grows with log position.
+
+    An event that ``append_log`` wrote carries its position: (time of the append, row in it), which is the same for every
+    reader, in batches and micro-batches, and survives a move of the files. A line of another writer goes by its file's
+    time, name and block and by ``line``.
+    """
+    written = F.coalesce(F.col("position.append"), F.unix_micros("_metadata.file_modification_time"))
+    foreign = F.col("position").isNull()
+    return events.withColumn("seq", F.struct(
+        written.alias("append"), F.coalesce("position.row", F.lit(0).cast("bigint")).alias("row"),
+        F.when(foreign, F.col("_metadata.file_path")).alias("file"), F.when(foreign, F.col("_metadata.file_block_start")).alias("part"),
+        F.when(foreign, line).alias("line"),
+    )).drop("position")
+
+
 def read_log(spark: SparkSession, path: str, kind: str, ids: str = "string") -> DataFrame:
-    """All events of a log with ``seq``, a value that grows with log position.
+    """All events of a log with ``seq`` (``with_seq``), so ties on event time can be settled by position.
 
-    ``seq`` is (file modification time, file name, offset in the file's split), so a later append
-    sorts after an earlier one and ties on event time can be settled by position. Blank lines are
-    skipped by the reader; a log that does not exist yet is an empty table.
+    Blank lines are skipped by the reader; a log that does not exist yet is an empty table.
     """
-    schema = LOG_SCHEMAS[kind] if ids == "string" else LOG_SCHEMAS[kind].replace("_id string", f"_id {ids}").replace("_id:string", f"_id:{ids}")
+    schema = log_schema(kind, ids)
     try:
         events = spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        return spark.createDataFrame([], schema).withColumn(
-            "seq", F.lit(None).cast("struct<at:timestamp,file:string,part:bigint,row:bigint>")
-        )
-    return events.withColumn(
-        "seq",
-        F.struct(
-            F.col("_metadata.file_modification_time").alias("at"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("part"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-    )
+        return spark.createDataFrame([], schema).withColumn("seq", F.lit(None).cast(SEQ)).drop("position")
+    return with_seq(events, F.monotonically_increasing_id())
 
 
 def stream_log(spark: SparkSession, path: str, kind: str, files_per_batch: int = 1000, ids: str = "string") -> DataFrame:
-    schema = LOG_SCHEMAS[kind] if ids == "string" else LOG_SCHEMAS[kind].replace("_id string", f"_id {ids}").replace("_id:string", f"_id:{ids}")
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
+    """The events of a log as a stream, with the ``seq`` of ``read_log``; lines of other writers in one block have one position."""
+    events = spark.readStream.schema(log_schema(kind, ids)).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", True).json(path)
+    return with_seq(events, F.lit(0).cast("bigint"))
 
 
 def append_log(valid: DataFrame, rejected: DataFrame | None, path: str, quarantine: str | None = None) -> None:
-    """Append a batch of accepted events; rejected ones go to the quarantine folder."""
-    valid.write.mode("append").json(path)
+    """Append a batch of accepted events; rejected ones go to the quarantine folder.
+
+    Each event is written with its position. Where events have a ``seq``, they keep its order: they are range-partitioned
+    by it, so no task sorts all. Appends are ordered by the driver's clock.
+    """
+    ordered = valid
+    if "seq" in valid.columns:
+        parts = int(valid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ordered = valid.repartitionByRange(parts, "seq").sortWithinPartitions("seq").drop("seq")
+    position = F.struct(F.lit(time.time_ns() // 1000).alias("append"), F.monotonically_increasing_id().alias("row"))
+    ordered.withColumn("position", position).write.mode("append").json(path)
     if rejected is not None and quarantine:
         rejected.write.mode("append").json(quarantine)

@@ -180,12 +180,16 @@ def test_oversampling(spark):
         Sp.targeted_oversample(df, 0, "relative_path")
 
 
-def test_latest_state_stream_equals_batch(spark, tmp_path):
-    data = [("producer_upserted", f"A{i % 5}", f"n{i}", "x", ["a"], True, f"2026-01-{1 + i % 9:02d}T00:00:00", "s") for i in range(40)]
-    events = _log(spark, "producer", data)
-    events.repartition(5).write.json(str(tmp_path / "log"))
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "log"))
-    state = J.LatestState(spark, str(tmp_path / "state"), "producer_id")
-    J.run_available(stream, str(tmp_path / "cp"), each=state)
-    assert state.last >= 4
-    assert rows(state.read(), "producer_id", "producer_name") == rows(Ca.latest_by_key(events, "producer_id"), "producer_id", "producer_name")
+def test_latest_state_survives_a_restart_and_equals_batch(spark, tmp_path):
+    """Several appends with ties on time, one file per micro-batch, and a new query on the same checkpoint."""
+    log, checkpoint = str(tmp_path / "log"), str(tmp_path / "cp")
+    data = [("producer_upserted", f"A{i % 5}", f"n{i}", "x", ["a"], True, f"2026-01-{1 + i % 3:02d}T00:00:00", "s") for i in range(60)]
+    for part in range(3):
+        events = _log(spark, "producer", data[part * 20: part * 20 + 20]).withColumn("seq", F.substring("producer_name", 2, 9).cast("int"))
+        logs.append_log(events.repartition(3), None, log)
+        if part:
+            J.keep_latest(logs.stream_log(spark, log, "producer", files_per_batch=1), "producer_id", checkpoint)
+    read = logs.read_log(spark, log, "producer")
+    assert [r.producer_name for r in read.orderBy("seq").collect()] == [f"n{i}" for i in range(60)]
+    got = rows(J.latest_state(spark, checkpoint), "producer_id", "producer_name", "seq")
+    assert got == rows(Ca.latest_by_key(read, "producer_id"), "producer_id", "producer_name", "seq") and len(got) == 5
