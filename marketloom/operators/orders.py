@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
 from ..sources.tables import Tables
-from ..session import cut
+from ..session import cut, fresh_path
 from .catalog import _blank, first_reason, trimmed_ids
+from .components import connected
+from .ranking import placed
 
 ORDER_SOURCE = "order_event"
 HISTORY_SOURCE = "history_backfill"
+#: Claims of one component of history batches that one task settles in turn.
+FOLD_ROWS = 1_000_000
 
 
 def order_total(total: Column, items: Column) -> Column:
@@ -107,24 +112,71 @@ def flatten_history(batches: DataFrame) -> DataFrame:
     )
 
 
-def _late_batches(claims: DataFrame) -> DataFrame:
-    """Batches (seq) that lose an order to an earlier accepted batch; ``claims`` holds (seq, order_id).
+def _folded(claims: pa.Table) -> pa.Table:
+    """The batches of one component that lose an order, taken one after another; ``claims`` holds (root, number, order_id)."""
+    claims = claims.sort_by("number")
+    taken, late, now, own = set(), [], None, []
+
+    def settle() -> None:
+        if taken.isdisjoint(own):
+            taken.update(own)
+        else:
+            late.append(now)
+
+    for number, order in zip(claims.column("number").to_pylist(), claims.column("order_id").to_pylist()):
+        if number != now and now is not None:
+            settle()
+            own = []
+        now = number
+        own.append(order)
+    if now is not None:
+        settle()
+    return pa.table({"number": pa.array(late, pa.int64())})
+
+
+def _late_in_rounds(claims: DataFrame) -> DataFrame:
+    """The batches (number) that lose an order, in rounds over all of ``claims`` (number, order_id) at once.
 
-    In rounds: batches that come first for all their orders are accepted, batches that share an order with those are
-    late, and the others go into the next round. The earliest batch left is accepted in every round. Each round is
-    joins and minima, and is written once.
+    Batches that come first for all their orders are accepted, batches that share an order with those are late, and the
+    others go into the next round. Each round adds its late batches to one table.
     """
-    left = cut(trimmed_ids(claims, "order_id").distinct())
-    late = left.select("seq").limit(0)
+    spark, path = claims.sparkSession, fresh_path(claims.sparkSession, "late")
+    claims.select("number").limit(0).write.parquet(path)
+    left = claims
     while not left.isEmpty():
-        first = left.groupBy("order_id").agg(F.min("seq").alias("_first"))
-        wins = left.join(first, "order_id").groupBy("seq").agg(F.min(F.col("seq") == F.col("_first")).alias("_wins"))
-        accepted = cut(wins.filter("_wins").select("seq"))
-        taken = left.join(accepted, "seq", "left_semi").select("order_id")
-        lost = cut(left.join(accepted, "seq", "left_anti").join(taken, "order_id", "left_semi").select("seq").distinct())
-        late = late.union(lost)
-        left = cut(left.join(accepted, "seq", "left_anti").join(lost, "seq", "left_anti"))
-    return late
+        first = left.groupBy("order_id").agg(F.min("number").alias("_first"))
+        wins = left.join(first, "order_id").groupBy("number").agg(F.min(F.col("number") == F.col("_first")).alias("_wins"))
+        accepted = cut(wins.filter("_wins").select("number"))
+        taken = left.join(accepted, "number", "left_semi").select("order_id")
+        lost = cut(left.join(accepted, "number", "left_anti").join(taken, "order_id", "left_semi").select("number").distinct())
+        lost.write.mode("append").parquet(path)
+        left = cut(left.join(accepted.union(lost), "number", "left_anti"))
+    return spark.read.schema("number bigint").parquet(path)
+
+
+def _late_batches(claims: DataFrame, fold_rows: int = FOLD_ROWS) -> DataFrame:
+    """Batches (seq) that lose an order to an earlier accepted batch; ``claims`` holds (seq, order_id).
+
+    Only orders that several batches claim matter. Batches that are linked by those fall into components, which do not
+    touch each other: one with up to ``fold_rows`` claims is settled batch by batch in one pass of one task, a larger
+    one in rounds over all tasks. So the number of jobs does not grow with the longest chain of batches, unless its
+    component is that large.
+    """
+    rows = cut(trimmed_ids(claims, "order_id").distinct())
+    several = rows.groupBy("order_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("order_id")
+    contested = cut(rows.join(several, "order_id"))
+    numbers = cut(placed(cut(contested.select("seq").distinct()), [], [F.col("seq")], "number"))
+    named = cut(contested.join(numbers, "seq").select("number", "order_id"))
+    first = named.groupBy("order_id").agg(F.min("number").alias("_first"))
+    roots = cut(connected(named.join(first, "order_id"), "_first", "number").withColumnRenamed("node", "number"))
+    in_component = cut(named.join(roots, "number"))
+    sizes = in_component.groupBy("root").agg(F.count("*").alias("_n"))
+    small = in_component.join(sizes.filter(F.col("_n") <= fold_rows), "root").select("root", "number", "order_id")
+    large = cut(in_component.join(sizes.filter(F.col("_n") > fold_rows), "root").select("number", "order_id"))
+    late = small.groupBy("root").applyInArrow(_folded, "number bigint")
+    if not large.isEmpty():
+        late = late.union(_late_in_rounds(large))
+    return late.join(numbers, "number").select("seq")
 
 
 def validate_history(tables: Tables, batches: DataFrame, log_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

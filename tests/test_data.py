@@ -1,14 +1,17 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketloom.functions.classes import event_day
 from marketloom.operators import catalog as Ca
+from marketloom.operators import components
 from marketloom.operators import lines as L
 from marketloom.operators import orders as O
 from marketloom.operators import splits as Sp
 from marketloom.plans import serving as S
+from marketloom.session import cut
 from marketloom.sources import images as Im
 from marketloom.sources import logs
 from marketloom.sources import tables as T
@@ -193,3 +196,27 @@ def test_latest_state_survives_a_restart_and_equals_batch(spark, tmp_path):
     assert [r.producer_name for r in read.orderBy("seq").collect()] == [f"n{i}" for i in range(60)]
     got = rows(J.latest_state(spark, checkpoint), "producer_id", "producer_name", "seq")
     assert got == rows(Ca.latest_by_key(read, "producer_id"), "producer_id", "producer_name", "seq") and len(got) == 5
+
+
+@pytest.mark.parametrize("fold_rows", [0, 40, 10**6])
+def test_late_history_batches_are_those_of_a_replay(spark, fold_rows):
+    """Components of all sizes, settled in one pass, in rounds, or some in each way."""
+    rng = random.Random(fold_rows)
+    claims = [(b, f"o{b // 10}-{rng.randrange(rng.choice([4, 30]))}") for b in range(120) for _ in range(rng.randint(1, 3))] + [(200, "alone"), (201, None), (202, None)]
+    taken, late = set(), set()
+    for b in sorted({b for b, _ in claims}):
+        own = {o for x, o in claims if x == b and o}
+        late |= {b} if own & taken else set()
+        taken |= own if b not in late else set()
+    got = O._late_batches(spark.createDataFrame(claims, "seq long, order_id string"), fold_rows)
+    assert {r.seq for r in got.collect()} == late and 5 < len(late) < 115
+
+
+def test_a_chain_of_history_batches_takes_few_writes(spark, monkeypatch):
+    """Each of 10,000 batches shares an order with the one before and the one after: every second one is late."""
+    writes = []
+    for module in (O, components):
+        monkeypatch.setattr(module, "cut", lambda df: writes.append(1) or cut(df))
+    claims = spark.range(10_000).selectExpr("id AS seq", "explode(array(concat('o', id), concat('o', id + 1))) AS order_id")
+    got = O._late_batches(claims)
+    assert {r.seq for r in got.collect()} == set(range(1, 10_000, 2)) and len(writes) < 25
