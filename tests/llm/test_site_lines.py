@@ -17,11 +17,19 @@ def pages(spark):
 def test_lines_on_many_pages_of_a_host_go(spark):
     rows = {r.page_id: r for r in site_lines.clean(pages(spark)).collect()}
     assert rows[3].text == "Text 3\nown & 3" and rows[3].n_lines == 4 and rows[3].n_dropped == 2 and rows[3].host == "site.example"
-    assert rows[20].text == "Same line" and rows[30].text == "Menu" and rows[31].text == "Menu"
+    assert rows[20].text == "" and rows[30].text == "Menu" and rows[31].text == "Menu"
     assert rows[30].host is None and rows[32].text == "" and rows[32].n_lines == 0
     assert site_lines.clean(pages(spark)).count() == 19
 
 
+@pytest.mark.parametrize("n", range(1, 6))
+def test_small_hosts_are_cleaned_by_the_same_rule(spark, n):
+    """A line on all pages goes from two pages on; one on a single page stays, though it is over the ratio on hosts of up to three."""
+    rows = [(i, f"http://small{n}.example/{i}", f"<p>Menu</p><p>own {i}</p>") for i in range(n)]
+    got = sorted(r.text for r in site_lines.clean(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect())
+    assert got == (["Menu\nown 0"] if n == 1 else [f"own {i}" for i in range(n)])
+
+
 def test_ratio_and_empty_table(spark):
     rows = {r.page_id: r for r in site_lines.clean(pages(spark), ratio=0.1).collect()}
     assert rows[0].text == "own & 0"  # Text 0 stands on 2 of 13 pages
