@@ -48,7 +48,7 @@ STAGES = [
     ("shards", shard_rows),
 ]
 
-#: Trained scores and 64-bit hashes are beyond SQL; tests/llm holds a brute-force version.
+#: Trained scores and 64-bit hashes are beyond SQL; tests/llm/test_pipeline.py replays the decisions of the stages plainly.
 ORACLE_SQL = None
 
 
