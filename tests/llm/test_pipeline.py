@@ -1,10 +1,18 @@
+import hashlib
+import re
+from collections import Counter
+
+import duckdb
 import pytest
+from marketloom.llm import mixture
 from marketloom.session import cut
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 
 from .helpers import SF, awkward, empty
+from .test_decontaminate import best, shingles
+from .test_simhash import classes, plain
 
 
 def test_stages_in_turn(spark):
@@ -33,3 +41,64 @@ def test_stages_take_awkward_documents(spark, make):
         assert out.columns[:5] == pipeline.COLUMNS
         many = out.filter("doc_id = 6").count()
         assert many >= (1 if make is awkward else 0), name
+
+
+def near_copies(rows):
+    """One of each class of fingerprints, over all pairs."""
+    rows = sorted(rows, key=lambda r: r.doc_id)
+    return Counter(rows[i].doc_id for i, c in enumerate(classes([plain(r.text) for r in rows], 4)) if i == c)
+
+
+def leaks(rows, items):
+    """Documents without a window that is like an item."""
+    kept = Counter()
+    for r in rows:
+        words = " ".join(re.findall(r"[^\W_]+", r.text.lower()))
+        kept[r.doc_id] += not any(any(" ".join(s) in words for s in shingles(i)) and best(r.text, i) >= 0.8 for i in items)
+    return +kept
+
+
+def mixed(rows):
+    """How often each document comes, by the mixture's SQL over the stage's own input."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(r.doc_id, r.source) for r in rows])
+    return Counter(x for (x,) in con.execute(f"SELECT doc_id FROM ({mixture.sql()})").fetchall())
+
+
+def sharded(rows):
+    """(doc_id, shard, slot) by sorting all fractional ranks."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.source, []).append((hashlib.md5(f"shard-1|{r.doc_id}".encode()).hexdigest(), r.doc_id))
+    order = sorted(((2 * i + 1) / (2 * len(g)), source, i, d) for source, g in groups.items() for i, (_, d) in enumerate(sorted(g)))
+    out, sizes = Counter(), Counter()
+    for place, (*_, doc) in enumerate(order):
+        shard = place * 40 // len(order)
+        out[doc, shard, sizes[shard]] += 1
+        sizes[shard] += 1
+    return out
+
+
+def test_decisions_equal_a_plain_replay_of_each_stage(spark):
+    """Each stage on its own input; the toxicity model is trained, so of its stage only what it does to rows is held: it takes whole documents away."""
+    items = [re.findall(r"[^\W_]+", r.text.lower()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 1").collect()}
+    for name, stage in pipeline.STAGES:
+        before = docs.collect()
+        docs = cut(stage(spark, docs, SF))
+        after = docs.collect()
+        ids = Counter(r.doc_id for r in after)
+        if name == "toxicity":
+            # 11 toxic labels are too few to learn from; what the model finds is tested in test_toxicity
+            gone = {r.doc_id for r in before} - set(ids)
+            assert set(ids.values()) == {1} and len(gone - toxic) <= 0.1 * len(before)
+        elif name == "near_duplicates":
+            assert ids == near_copies(before)
+        elif name == "decontamination":
+            assert ids == leaks(before, items) and len(after) < len(before)
+        elif name == "mixture":
+            assert ids == mixed(before)
+        else:
+            assert Counter((r.doc_id, r.shard, r.slot) for r in after) == sharded(before)
