@@ -103,7 +103,7 @@ view(
     "manifest",
     f"""SELECT 'data/raw/external/img' || event_id || '.jpg' AS image_path,
         CASE WHEN event_id % 4 <> 3 THEN {produce('user_id')} || CASE WHEN event_id % 2 = 0 THEN '__Healthy' ELSE '__Rotten' END END AS expected_class,
-        'note ' || event_id AS notes FROM events WHERE event_id % 3 = 0""",
+        'note ' || event_id AS notes FROM events""",
 )
 FILE = "regexp_extract(replace({p}, '\\', '/'), '[^/]*$')"
 STEM = "regexp_replace(" + FILE + ", '(.)\\.[^.]+$', '\\1')"
