@@ -392,25 +392,26 @@ def _order_stream(spark, sf) -> DataFrame:
     return spark.readStream.schema(ORDER_STREAM).option("maxFilesPerTrigger", 2).json(path)
 
 
+LINES = "product_id bigint, order_id bigint, customer_id bigint, order_date date, event_ts timestamp, quantity double, unit_price double, product_name string, category string, producer_id bigint, week_start date"
+
+
+def _order_lines_taken(spark, sf) -> str:
+    """The folder of the order lines of a stream of many micro-batches, whose log is far longer than the delay."""
+    path = fresh_path(spark, "lines")
+    J.take_order_lines(_order_stream(spark, sf), tables(spark, sf).products, path, delay="5 days")
+    return path
+
+
 @register("stream_order_lines", query("""SELECT i.order_id, i.product_id, i.quantity, p.product_name, p.producer_id FROM oe_items i JOIN oe_valid o USING (seq) LEFT JOIN m_products p ON p.product_id = i.product_id""", "oe_items", "oe_valid", "m_products"))
 def stream_order_lines(spark, sf):
-    # The log's files are not in time order, so the delay covers the span of the log.
-    lines = J.stream_order_lines(_order_stream(spark, sf), tables(spark, sf).products, delay="60 days")
-    out = fresh_path(spark, "lines")
-    J.run_available(lines, J.checkpoint_for(spark, "lines"), out)
-    return spark.read.parquet(out).select("order_id", "product_id", "quantity", "product_name", "producer_id")
+    lines = J.order_lines(spark, _order_lines_taken(spark, sf), LINES)
+    return lines.select("order_id", "product_id", "quantity", "product_name", "producer_id")
 
 
 @register("stream_weekly_demand", query("""SELECT date_trunc('week', o.ts)::DATE AS week_start, p.producer_id, i.product_id, p.product_name, sum(i.quantity) AS quantity_ordered
-    FROM oe_items i JOIN oe_valid o USING (seq) JOIN m_products p ON p.product_id = i.product_id WHERE i.order_id NOT IN (SELECT 0 WHERE false) GROUP BY ALL""", "oe_items", "oe_valid", "m_products"))
+    FROM oe_items i JOIN oe_valid o USING (seq) JOIN m_products p ON p.product_id = i.product_id GROUP BY ALL""", "oe_items", "oe_valid", "m_products"))
 def stream_weekly_demand(spark, sf):
-    out = fresh_path(spark, "lines")
-    lines = J.stream_order_lines(_order_stream(spark, sf), tables(spark, sf).products, delay="60 days")
-    J.run_available(lines, J.checkpoint_for(spark, "lines"), out)
-    flow = spark.readStream.schema(spark.read.parquet(out).schema).parquet(out)
-    sink = J.KeyedSink(spark, fresh_path(spark, "weekly"), ["week_start", "producer_id", "product_id", "product_name"])
-    J.run_available(J.stream_weekly_demand(flow, delay="60 days"), J.checkpoint_for(spark, "weekly"), each=sink, mode="update")
-    return sink.read()
+    return J.take_weekly_demand(spark, _order_lines_taken(spark, sf), LINES)
 
 
 DAILY = counters_sql("day", "strftime(ts, '%Y-%m-%d')", "true").replace("FROM verdicts", "FROM daily_verdicts")
@@ -429,21 +430,12 @@ view(
 
 @register("stream_feedback_daily", query(f"SELECT * EXCLUDE (level, key), key AS day FROM ({DAILY})", "daily_verdicts"))
 def stream_feedback_daily(spark, sf):
-    """Both logs as streams. A closing event far in the future follows each log: it moves the
-    watermark on, so that every open day and unmatched row is emitted; its own day never is."""
-    far = F.expr("timestamp'2099-01-01 00:00:00'")
-    said, told = star.feedback(spark, sf), prediction_log(spark, sf)
-    times = star.events(spark, sf).select("event_id", F.col("ts").alias("created_ts"))
-    told = told.join(times, "event_id").select("prediction_id", "created_at", "predicted_class", "quality_grade", "model_name", "confidence", "manual_review_required", "created_ts")
-    paths = {}
-    for name, df, time in (("said", said, "feedback_ts"), ("told", told, "created_ts")):
-        paths[name] = (_write_log(spark, df, name, 1), df.schema, time)
-    streams = {n: spark.readStream.schema(s).json(p) for n, (p, s, _) in paths.items()}
-    out, checkpoint = fresh_path(spark, "daily"), J.checkpoint_for(spark, "daily")
-    daily = J.stream_feedback_daily(J.stream_feedback_rows(streams["said"], streams["told"]))
-    J.run_available(daily, checkpoint, out)
-    for name, df, time in (("said", said, "feedback_ts"), ("told", told, "created_ts")):
-        closing = df.orderBy(df.columns[0]).limit(1).withColumn(time, far).withColumn("prediction_id", F.lit(f"closing-{name}"))
-        closing.write.mode("append").json(paths[name][0])
-    J.run_available(daily, checkpoint, out)
-    return spark.read.parquet(out)
+    """Both logs as streams of several files and micro-batches, in two runs: the first takes all feedback and half of the predictions."""
+    said, told = star.feedback(spark, sf).drop("seq", "created_at", "model_name"), prediction_log(spark, sf).select("seq", "prediction_id", *Mo.LOGGED)
+    path, half = fresh_path(spark, "daily"), F.col("seq") % 2 == 0
+    logs_at = _write_log(spark, said, "said"), _write_log(spark, told.filter(half), "told")
+    source = lambda at, df: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).json(at)
+    streams = source(logs_at[0], said), source(logs_at[1], told)
+    J.take_feedback(*streams, path, ["seq"])
+    told.filter(~half).write.mode("append").json(logs_at[1])
+    return J.take_feedback(*streams, path, ["seq"])

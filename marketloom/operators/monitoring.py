@@ -71,13 +71,17 @@ COUNTERS = [
 ]
 
 
-def counters() -> list[Column]:
+def counted_flags() -> list[Column]:
+    """What makes a row of ``with_verdicts`` count, in the order of COUNTERS."""
     col = F.col
-    flags = [
+    return [
         F.lit(True), col("accepted"), col("overridden"), col("class_ok").isNotNull(), col("class_ok"), ~col("class_ok"),
         col("grade_ok").isNotNull(), col("grade_ok"), ~col("class_ok") & (col("confidence") >= HIGH_CONFIDENCE), col("manual_review"),
     ]
-    return [F.sum(flag(f)).alias(name) for f, name in zip(flags, COUNTERS)]
+
+
+def counters() -> list[Column]:
+    return [F.sum(flag(f)).alias(name) for f, name in zip(counted_flags(), COUNTERS)]
 
 
 def ratios() -> list[Column]:

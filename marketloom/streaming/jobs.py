@@ -2,86 +2,180 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.utils import AnalysisException
 
 from ..operators.catalog import latest_by_key
-from ..operators.monitoring import COUNTERS, counters, ratios, with_verdicts
+from ..operators.monitoring import COUNTERS, LOGGED, counted_flags, ratios, with_verdicts
 from ..session import fresh_path
 
-# The epoch is a Thursday, so seven-day windows start on a Monday when shifted by four days.
-MONDAY = "4 days"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def start_available(df: DataFrame, checkpoint: str, out: str | None = None, each: Callable | None = None, mode: str = "append") -> StreamingQuery:
-    """Start a query that takes what is there in as many micro-batches as needed, then ends."""
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if each is not None:
-        return writer.foreachBatch(each).start()
-    return writer.format("parquet").option("path", out).start()
+class LateRowsError(RuntimeError):
+    """A query dropped rows behind its watermark."""
 
 
-def run_available(df: DataFrame, checkpoint: str, out: str | None = None, each: Callable | None = None, mode: str = "append") -> StreamingQuery:
-    query = start_available(df, checkpoint, out, each, mode)
-    query.awaitTermination()
+def run_available(
+    df: DataFrame, checkpoint: str, out: str | None = None, each: Callable | None = None, mode: str = "append", parts: tuple = ()
+) -> StreamingQuery:
+    """Take what is there in as many micro-batches as needed, then end: into Parquet at ``out``, through ``each``, or into the
+    query's own state only. State lives in RocksDB. Rows dropped behind a watermark are an error."""
+    spark = df.sparkSession
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        if each is not None:
+            query = writer.foreachBatch(each).start()
+        elif out is not None:
+            query = writer.format("parquet").option("path", out).partitionBy(*parts).start()
+        else:
+            query = writer.format("noop").start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, before)
     if query.exception():
         raise query.exception()
+    dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    if dropped:
+        raise LateRowsError(f"{dropped} rows were dropped behind the watermark")
     return query
 
 
+def written(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table that a stream writes; empty before its first batch."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def kept(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The keys and the value of a one-aggregate query as of its last committed micro-batch, read from its state."""
+    state = spark.read.format("statestore").load(checkpoint)
+    # The state of a maximum is the row, then what it is ordered by; that of a sum is the sum.
+    value = state.schema["value"].dataType.fields[0].name
+    return state.select("key.*", F.col(f"value.{value}").alias("value"))
+
+
 # --- order lines ---------------------------------------------------------------------------------
 
 
-def stream_order_lines(orders: DataFrame, products: DataFrame, time: str = "event_ts", delay: str = "7 days") -> DataFrame:
-    """Order stream to lines: one event per order id within the watermark, items exploded, joined
-    with the catalogue.
+def split_late(events: DataFrame, path: str, checkpoint: str, time: str = "event_ts", delay: str = "7 days") -> StreamingQuery:
+    """Write each micro-batch once, apart by whether a row lies over ``delay`` behind the newest row of earlier batches.
 
-    Rows later than the watermark are dropped and counted in the query progress
-    (numRowsDroppedByWatermark); the delay is the bound on how late a replay may come.
+    Readers: ``rows/*/late=false`` and ``rows/*/late=true`` under ``path``. A batch's newest time is observed while it is
+    written and kept beside it, running, so a batch reads one number of the batch before. A finished batch that is run again
+    after a failure is not written again.
     """
-    once = orders.withWatermark(time, delay).dropDuplicatesWithinWatermark(["order_id"])
-    lines = once.select("order_id", "customer_id", F.to_date("order_date").alias("order_date"), time, F.explode("items").alias("i"))
-    flat = lines.select("order_id", "customer_id", "order_date", time, "i.product_id", "i.quantity", "i.unit_price")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = lambda n: written(spark, f"{path}/newest/batch={n}", "newest bigint").first()
+        if mark(batch_id):
+            return
+        before = mark(batch_id - 1) if batch_id else None
+        newest = before["newest"] if before else None
+        limit = F.timestamp_micros(F.lit(newest).cast("bigint")) - F.expr(f"interval {delay}")
+        late = F.coalesce(F.col(time).cast("timestamp") < limit, F.lit(False))
+        observed = Observation()
+        rows = batch.observe(observed, F.max(F.unix_micros(F.col(time).cast("timestamp"))).alias("newest"))
+        rows.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(f"{path}/rows/batch={batch_id}")
+        times = [t for t in (newest, observed.get.get("newest")) if t is not None]
+        mark_row = spark.createDataFrame([(max(times) if times else None,)], "newest bigint")
+        mark_row.coalesce(1).write.mode("overwrite").parquet(f"{path}/newest/batch={batch_id}")
+
+    return run_available(events, checkpoint, each=each)
+
+
+def week_of(time: str) -> Column:
+    """The Monday of the week."""
+    return F.to_date(F.date_trunc("week", F.col(time)))
+
+
+def _exploded(orders: DataFrame, products: DataFrame, time: str) -> DataFrame:
+    lines = orders.select("order_id", "customer_id", F.to_date("order_date").alias("order_date"), time, F.explode("items").alias("i"))
+    flat = lines.select("order_id", "customer_id", "order_date", time, week_of(time).alias("week_start"), "i.product_id", "i.quantity", "i.unit_price")
     return flat.join(products.select("product_id", "product_name", "category", "producer_id"), "product_id", "left")
 
 
-def stream_weekly_demand(lines: DataFrame, time: str = "event_ts", delay: str = "7 days") -> DataFrame:
-    """Weekly quantity per producer and product; run in update mode, trend and forecast are batch
-    work on its table."""
-    week = F.window(time, "7 days", startTime=MONDAY)
-    sold = lines.filter(F.col("producer_id").isNotNull()).withWatermark(time, delay)
-    return sold.groupBy(week, "producer_id", "product_id", "product_name").agg(F.sum("quantity").alias("quantity_ordered")).select(
-        F.to_date("window.start").alias("week_start"), "producer_id", "product_id", "product_name", "quantity_ordered"
-    )
+def stream_order_lines(orders: DataFrame, products: DataFrame, time: str = "event_ts", delay: str = "7 days") -> DataFrame:
+    """Order stream to lines: one event per order id within the watermark, items exploded, joined with the catalogue.
+
+    Rows behind the watermark would be dropped: ``take_order_lines`` sets them apart before and merges them after.
+    """
+    return _exploded(orders.withWatermark(time, delay).dropDuplicatesWithinWatermark(["order_id"]), products, time)
 
 
-class KeyedSink:
-    """Keeps the newest row per key of an update-mode stream.
+def take_order_lines(orders: DataFrame, products: DataFrame, path: str, time: str = "event_ts", delay: str = "7 days") -> None:
+    """Take in what is there of an order stream as lines under ``path``; ``order_lines`` reads them. May be run again at any time.
 
-    Each micro-batch overwrites its own folder, so a batch that is run again after a failure changes
-    nothing; reading takes the row of the highest batch per key.
+    The state of seen ids covers ``delay`` only, however long the log is. Rows behind it go to a side table and are merged
+    from there: an order that is late is new if neither the lines of its week nor earlier late lines hold its id. An order
+    that is delivered again keeps its event time, so both deliveries lie in one week. The on-time rows of a run are
+    one micro-batch, whose watermark is never ahead of the time at which its rows were found to be on time.
     """
+    spark = orders.sparkSession
+    split_late(orders, path, f"{path}/_split", time, delay)
+    source = lambda late: spark.readStream.schema(orders.schema).parquet(f"{path}/rows/*/late={late}")
+    on_time = stream_order_lines(source("false"), products, time, delay)
+    numbered = StructType([*on_time.schema.fields, StructField("batch", LongType())])
+    run_available(on_time, f"{path}/_lines", out=f"{path}/lines", parts=("week_start",))
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path, keys
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        once = batch.dropDuplicates(["order_id"])
+        weeks = [r[0] for r in once.select(week_of(time)).distinct().collect()]
+        known = written(spark, f"{path}/lines", on_time.schema)
+        earlier = written(spark, f"{path}/late_lines", numbered).filter(F.col("batch") < batch_id)
+        ids = known.unionByName(earlier.drop("batch")).filter(F.col("week_start").isin(weeks)).select("order_id")
+        new = _exploded(once.join(ids, "order_id", "left_anti"), products, time)
+        new.select(*on_time.columns).write.mode("overwrite").parquet(f"{path}/late_lines/batch={batch_id}")
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+    run_available(source("true"), f"{path}/_late", each=merge)
 
-    def read(self) -> DataFrame:
-        rows = self.spark.read.parquet(self.path)
-        rest = [c for c in rows.columns if c not in self.keys and c != "batch"]
-        return rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), F.col("batch")).alias("r")).select(*self.keys, "r.*")
 
+def late_lines(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The lines of ``take_order_lines`` that came behind the delay."""
+    return written(spark, f"{path}/late_lines", schema).drop("batch")
 
-# --- latest state --------------------------------------------------------------------------------
 
+def order_lines(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All lines that ``take_order_lines`` has written, late ones included."""
+    return written(spark, f"{path}/lines", schema).unionByName(late_lines(spark, path, schema))
+
+
+WEEKLY = ["week_start", "producer_id", "product_id", "product_name"]
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+def stream_weekly_demand(lines: DataFrame) -> DataFrame:
+    """Weekly quantity per producer and product; trend and forecast are batch work on its table.
+
+    State is one sum a week and product, in proportion to the result, so it needs no watermark and no row can be late.
+    """
+    return lines.filter(F.col("producer_id").isNotNull()).groupBy(*WEEKLY).agg(F.sum("quantity").alias("quantity_ordered"))
+
+
+def take_weekly_demand(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Take in the new lines of ``take_order_lines`` and return the weekly demand: the query's state plus the late lines."""
+    lines = spark.readStream.schema(schema).parquet(f"{path}/lines")
+    run_available(stream_weekly_demand(lines), f"{path}/_weekly", mode="update")
+    sums = kept(spark, f"{path}/_weekly").withColumnRenamed("value", "quantity_ordered")
+    late = stream_weekly_demand(late_lines(spark, path, schema))
+    return sums.unionByName(late).groupBy(*WEEKLY).agg(F.sum("quantity_ordered").alias("quantity_ordered"))
+
+
+# --- latest state --------------------------------------------------------------------------------
 
 
 def keep_latest(events: DataFrame, key: str, checkpoint: str) -> StreamingQuery:
@@ -91,52 +185,100 @@ def keep_latest(events: DataFrame, key: str, checkpoint: str) -> StreamingQuery:
     committed with the checkpoint: a query that is stopped or lost goes on from there when it is run again. ``events``
     needs ``seq`` (``logs.stream_log``); later positions win ties on time. Only entities take room, not events.
     """
-    spark = events.sparkSession
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    try:
-        writer = latest_by_key(events, key).writeStream.outputMode("update").format("noop")
-        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        spark.conf.set(STATE_STORE, before)
-    if query.exception():
-        raise query.exception()
-    return query
+    return run_available(latest_by_key(events, key), checkpoint, mode="update")
 
 
 def latest_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The latest event of each entity as of the last committed micro-batch of ``keep_latest``, read from its state."""
-    state = spark.read.format("statestore").load(checkpoint)
-    # The state of a maximum is the row, then what it is ordered by.
-    row = state.schema["value"].dataType.fields[0].name
-    return state.select("key.*", f"value.{row}.*")
+    state = kept(spark, checkpoint)
+    return state.select(*[c for c in state.columns if c != "value"], "value.*")
 
 
 # --- feedback ------------------------------------------------------------------------------------
 
+SAID = [
+    "feedback_day", "accepted_ai_recommendation", "predicted_class", "predicted_grade", "corrected_class",
+    "producer_override_class", "producer_override_grade",
+]
+SAID_TYPES = ", ".join(f"{c} {'boolean' if c.startswith('accepted') else 'string'}" for c in SAID)
+LOGGED_TYPES = ", ".join(f"{c} { {'confidence': 'double', 'manual_review_required': 'boolean'}.get(c, 'string')}" for c in LOGGED)
+DELTAS = "said string, logged string, n bigint"
 
-def stream_feedback_rows(feedback: DataFrame, predictions: DataFrame, bound: str = "2 days", delay: str = "1 day") -> DataFrame:
-    """Feedback stream left-joined with the prediction stream on id, within a time bound.
 
-    ``feedback`` needs ``feedback_ts`` and ``predictions`` ``created_ts``. The bound lets Spark drop
-    join state: a prediction older than it can no longer be commented on.
-    """
-    logged = predictions.select(
-        F.col("prediction_id").alias("_id"), "created_ts",
-        F.struct("created_at", "predicted_class", "quality_grade", "model_name", "confidence", "manual_review_required").alias("logged"),
-    ).withWatermark("created_ts", delay)
-    said = feedback.withWatermark("feedback_ts", delay)
-    on_time = F.col("created_ts").between(
-        F.col("feedback_ts") - F.expr(f"interval {bound}"), F.col("feedback_ts") + F.expr(f"interval {bound}")
-    )
-    return said.join(logged, (F.col("prediction_id") == F.col("_id")) & on_time, "left")
+def _combined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Equal feedback of an Arrow batch as one row with its number."""
+    for batch in batches:
+        yield batch.groupby(["prediction_id", "said"], as_index=False, dropna=False)["n"].sum()
+
 
+def _settled(key: tuple, parts: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """What new rows of one prediction id change in the joined feedback, as signed counts.
 
-def stream_feedback_daily(joined: DataFrame) -> DataFrame:
-    """Daily counters and ratios of the joined stream; one row set drives all counters."""
-    daily = with_verdicts(joined, keep=["feedback_ts"]).groupBy(F.window("feedback_ts", "1 day")).agg(*counters())
-    return daily.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), *COUNTERS, *ratios())
+    State: order and content of the latest prediction, and the id's distinct feedback with its number. Feedback that came before
+    its prediction, or before a later one of the same id, is taken back and given again.
+    """
+    order, logged, counts = None, None, {}
+    if state.exists:
+        order, logged, counts = (json.loads(v) if i != 1 and v is not None else v for i, v in enumerate(state.get))
+    newest, latest, fresh = order, logged, {}
+    for part in parts:
+        for at, shown, said, n in zip(part["at"], part["logged"], part["said"], part["n"]):
+            if said is not None:
+                fresh[said] = fresh.get(said, 0) + int(n)
+            elif newest is None or (list(at), shown) > (newest, latest):
+                newest, latest = [int(a) for a in at], shown
+    out = [(said, latest, n) for said, n in fresh.items()]
+    if latest != logged:
+        out += [row for said, n in counts.items() for row in ((said, logged, -n), (said, latest, n))]
+    for said, n in fresh.items():
+        counts[said] = counts.get(said, 0) + n
+    state.update((json.dumps(newest), latest, json.dumps(counts)))
+    if out:
+        yield pd.DataFrame(out, columns=["said", "logged", "n"])
+
+
+def stream_feedback_changes(feedback: DataFrame, predictions: DataFrame, order: list[str], time: str = "feedback_ts") -> DataFrame:
+    """Feedback stream joined with the prediction stream on id, as signed counts of (feedback, logged prediction).
+
+    The state of an id holds its latest prediction and its distinct feedback, with no bound on time: feedback
+    meets a prediction of any age, in either order of arrival, and sums of the counts equal the batch join
+    (``monitoring.prediction_feedback``). Equal feedback is combined before the shuffle, so an id with very many rows sends one row a
+    batch and content. Feedback without an id can match nothing and goes around the state. ``order`` names bigint columns by
+    which later predictions of an id replace earlier ones.
+    """
+    named = F.coalesce(F.col("prediction_id") != "", F.lit(False))
+    words = feedback.withColumn("feedback_day", F.date_format(time, "yyyy-MM-dd"))
+    said = words.select("prediction_id", F.to_json(F.struct(*SAID)).alias("said"), F.lit(1).cast("bigint").alias("n"))
+    none = F.lit(None).cast("string")
+    told = predictions.filter(named).select(
+        "prediction_id", F.array(*[F.col(c).cast("bigint") for c in order]).alias("at"),
+        F.to_json(F.struct(*LOGGED)).alias("logged"), none.alias("said"), F.lit(0).cast("bigint").alias("n"),
+    )
+    combined = said.filter(named).mapInPandas(_combined, "prediction_id string, said string, n bigint")
+    rows = told.unionByName(combined.select("prediction_id", F.lit(None).cast("array<bigint>").alias("at"), none.alias("logged"), "said", "n"))
+    changes = rows.groupBy("prediction_id").applyInPandasWithState(_settled, DELTAS, "at string, logged string, said string", "append", "NoTimeout")
+    return changes.unionByName(said.filter(~named).select("said", none.alias("logged"), "n"))
+
+
+def stream_feedback_daily(changes: DataFrame) -> DataFrame:
+    """Daily counters, one row a day and counter; state is the result, so it needs no watermark."""
+    said, logged = F.from_json("said", SAID_TYPES), F.from_json("logged", LOGGED_TYPES)
+    none = F.lit(None).cast("string")
+    rows = changes.select(said.alias("s"), logged.alias("logged"), "n").select("s.*", "logged", "n", none.alias("created_at"), none.alias("model_name"))
+    verdicts = with_verdicts(rows, keep=["feedback_day", "n"])
+    each = F.array(*[F.struct(F.lit(name).alias("counter"), F.when(f, F.col("n")).otherwise(0).alias("by")) for name, f in zip(COUNTERS, counted_flags())])
+    counted = verdicts.select(F.col("feedback_day").alias("day"), F.explode(each).alias("c")).select("day", "c.*")
+    return counted.groupBy("day", "counter").agg(F.sum("by").alias("total"))
+
+
+def take_feedback(feedback: DataFrame, predictions: DataFrame, path: str, order: list[str]) -> DataFrame:
+    """Take in what is there of both streams and return the daily counters and ratios so far. May be run again at any time."""
+    spark = feedback.sparkSession
+    run_available(stream_feedback_changes(feedback, predictions, order), f"{path}/_changes", out=f"{path}/changes")
+    changes = spark.readStream.schema(DELTAS).parquet(f"{path}/changes")
+    run_available(stream_feedback_daily(changes), f"{path}/_daily", mode="update")
+    wide = kept(spark, f"{path}/_daily").groupBy("day").pivot("counter", COUNTERS).agg(F.sum("value"))
+    return wide.filter("feedback_count > 0").select("day", *COUNTERS, *ratios())
 
 
 def checkpoint_for(spark: SparkSession, label: str) -> str:
