@@ -422,9 +422,9 @@ PROFILE_ROWS = ", ".join(
     for n, p in I.PROFILES.items()
 )
 view("profiles", f"SELECT * FROM (VALUES {PROFILE_ROWS}) t(profile, hues, dark_warn, dark_fail, min_s, min_v, max_v)")
-view("images", f"SELECT e.vec_id AS image_id, p.product_type FROM embeddings e CROSS JOIN (SELECT DISTINCT {produce_of('predicted_class')} AS product_type FROM preds) p", "preds")
+view("images", f"SELECT e.vec_id AS image_id, p.product_type FROM embeddings e CROSS JOIN (SELECT DISTINCT {produce_of('predicted_class')} AS product_type FROM preds) p WHERE e.vec_id % 41 <> 0", "preds")
 VAL = "greatest(0.0::DOUBLE, least(1.0::DOUBLE, (embedding[({i}) % 64 + 1]::DOUBLE + 0.6::DOUBLE) / 1.2::DOUBLE))"
-view("px", f"SELECT vec_id AS image_id, i, i // 8 AS y, i % 8 AS x, {VAL.format(i='i')} AS rd, {VAL.format(i='i + 21')} AS gr, {VAL.format(i='i + 42')} AS bl FROM embeddings, generate_series(0, 63) g(i)")
+view("px", f"SELECT vec_id AS image_id, i, i // 8 AS y, i % 8 AS x, {VAL.format(i='i')} AS rd, {VAL.format(i='i + 21')} AS gr, {VAL.format(i='i + 42')} AS bl FROM embeddings, generate_series(0, 63) g(i) WHERE vec_id % 41 <> 0")
 view(
     "hsv_px",
     """SELECT image_id, i, y, x, rd, gr, bl, hi AS v, CASE WHEN hi > 1e-8 THEN d / hi ELSE 0.0::DOUBLE END AS s,
@@ -477,7 +477,7 @@ def produce_types(spark, sf) -> DataFrame:
 def images(spark, sf) -> DataFrame:
     """Every image for each of the (at most 14) product types."""
     types = F.array(*[F.lit(p) for p in star.PRODUCE])
-    return star.pixel_images(spark, sf).withColumn("product_type", F.explode(types))
+    return star.pixel_images(spark, sf).withColumn("product_types", types)
 
 
 def features(spark, sf) -> DataFrame:
@@ -501,11 +501,13 @@ def hsv(spark, sf):
     (SELECT image_id, product_type, {HUE_OK} AS ok FROM (SELECT i.image_id, i.product_type, coalesce(p.profile, 'default') AS pk FROM images i LEFT JOIN profiles p ON p.profile = lower(i.product_type)) k
      JOIN profiles f ON f.profile = k.pk JOIN hsv_px h USING (image_id)) GROUP BY ALL""", "images", "profiles", "hsv_px"))
 def hue_range_join(spark, sf):
-    px = I.quality_profile_join(images(spark, sf), I.quality_profiles(spark))
-    colours = F.transform(F.arrays_zip("red", "green", "blue"), lambda p: I.hsv(p["red"], p["green"], p["blue"])["hue"])
-    rows = px.select("image_id", "product_type", "hue_ranges", F.explode(colours).alias("hue"))
-    counted = rows.groupBy("image_id", "product_type").agg(F.sum(F.when(I.hue_accepted(F.col("hue"), F.col("hue_ranges")), 1).otherwise(0)).alias("accepted_pixels"))
-    return counted
+    """Pixels are neither exploded nor shuffled: the hues of an image are sorted once, and each type searches them."""
+    wanted = I.quality_profile_join(spark.createDataFrame([(p,) for p in star.PRODUCE], "product_type string"), I.quality_profiles(spark))
+    types = wanted.select(F.struct("product_type", I.merged_ranges(F.col("hue_ranges")).alias("ranges")).alias("t")).agg(F.collect_list("t")).scalar()
+    hues = F.transform(F.arrays_zip("red", "green", "blue"), lambda p: I.hsv(p["red"], p["green"], p["blue"])["hue"])
+    sorted_once = star.pixel_images(spark, sf).filter("red IS NOT NULL").select("image_id", F.array_sort(hues).alias("hues"), types.alias("types"))
+    counts = F.transform("types", lambda t: F.struct(t["product_type"].alias("product_type"), I.hues_accepted(F.col("hues"), t["ranges"]).alias("accepted_pixels")))
+    return sorted_once.select("image_id", F.inline(counts))
 
 
 @register("quality_profile_join", query("""SELECT product_type, known AS profile_known, f.dark_warn AS dark_ratio_warn, f.dark_fail AS dark_ratio_fail, f.min_s AS min_saturation, f.min_v AS min_value, f.max_v AS max_value FROM
@@ -559,18 +561,21 @@ DEFAULT_W = "0.45::DOUBLE AS w1, 0.25::DOUBLE AS w2, 0.15::DOUBLE AS w3, 0.1::DO
 view("decisions", decision_sql(f"SELECT *, {DEFAULT_W} FROM components"), "components")
 
 
+def _used_images(spark, sf, rows: DataFrame) -> DataFrame:
+    types = rows.groupBy("image_id").agg(F.collect_set("product_type").alias("product_types"))
+    return star.pixel_images(spark, sf).join(types, "image_id")
+
+
 def quality_rows(spark, sf) -> DataFrame:
-    """Predictions joined with the features of their image: features are computed once per distinct
-    (image, product type) pair that occurs."""
+    """Predictions joined with the features of their image: an image is read once and measured for the product types that occur
+    with it. Predictions whose image gives no features are those of ``missing_images``."""
     p = star.top_predictions_json(preds(spark, sf))
     count = star.read(spark, sf, "embeddings").select(F.count("*")).scalar()
     rows = p.select(
         "*", (F.col("event_id") % count).alias("image_id"), C.produce_of(F.col("predicted_class")).alias("product_type"),
         C.status_of(F.col("predicted_class")).alias("condition"), Bz.parse_top_k(F.col("top_predictions")).alias("top_k"),
     )
-    pairs = rows.select("image_id", "product_type").distinct()
-    used = star.pixel_images(spark, sf).join(pairs, "image_id")
-    return rows.join(I.image_features(used, I.quality_profiles(spark)), ["image_id", "product_type"])
+    return rows.join(I.image_features(_used_images(spark, sf, rows), I.quality_profiles(spark)), ["image_id", "product_type"])
 
 
 COMPONENT_COLUMNS = ["c_model_condition", "c_color", "c_defect_absence", "c_image_quality", "c_size_proxy", "c_ripeness"]
@@ -609,10 +614,10 @@ def quality_decision(spark, sf):
 @register("prediction_enrich", query(f"""SELECT b.event_id, b.produce_type, b.freshness_status, coalesce(d.grade, b.quality_grade) AS quality_grade, coalesce(d.action, b.recommended_action) AS recommended_action,
     b.manual_review_required OR coalesce(d.manual_review, false) AS manual_review_required, d.grade IS NULL AS quality_missing, d.inventory_status, d.discount_percentage,
     {distinct_join("list_concat(string_split(b.reason_codes, '|'), string_split(d.quality_reason_codes, '|'))")} AS reason_codes, d.overall_quality_score, b.model AS model_name, 'v' || (b.event_id % 3) AS model_version
-    FROM business b LEFT JOIN (SELECT * FROM decisions WHERE event_id % 43 <> 0) d USING (event_id)""", "business", "decisions"))
+    FROM business b LEFT JOIN decisions d USING (event_id)""", "business", "decisions"))
 def prediction_enrich(spark, sf):
     version = F.concat(F.lit("v"), (F.col("event_id") % 3).cast("string"))
-    decided = Ql.quality_decision(quality_rows(spark, sf).filter("event_id % 43 <> 0"))  # some images give no features
+    decided = Ql.quality_decision(quality_rows(spark, sf))  # some images give no features
     rich = Ql.prediction_enrich(business(spark, sf), decided, "event_id", F.col("model"), F.lit(None).cast("string"), version)
     return flat_codes(rich).select(
         "event_id", "produce_type", "freshness_status", "quality_grade", "recommended_action", "manual_review_required", "reason_codes", "overall_quality_score", "model_name", "model_version",
@@ -626,8 +631,7 @@ def missing_images(spark, sf):
     count = star.read(spark, sf, "embeddings").select(F.count("*")).scalar()
     p = preds(spark, sf)
     rows = p.select("event_id", (F.col("event_id") % count).alias("image_id"), C.produce_of(F.col("predicted_class")).alias("product_type"))
-    readable = star.pixel_images(spark, sf).filter("image_id % 41 <> 0").join(rows.select("image_id", "product_type").distinct(), "image_id")
-    return Ql.missing_images(rows, I.image_features(readable, I.quality_profiles(spark)), ["image_id", "product_type"])
+    return Ql.missing_images(rows, I.image_features(_used_images(spark, sf, rows), I.quality_profiles(spark)), ["image_id", "product_type"])
 
 
 def weight_sql(sets: dict) -> str:

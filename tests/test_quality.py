@@ -1,3 +1,6 @@
+import colorsys
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +119,52 @@ def test_image_source_bytes_equal_arrays(spark):
     assert [round(x, 9) if isinstance(x, float) else x for x in first] == [round(x, 9) if isinstance(x, float) else x for x in second]
 
 
+def _plain_measures(red, green, blue, side, profile):
+    """Pixel by pixel, for one image and one profile."""
+    front = good = dark = 0
+    for r, g, b in zip(red, green, blue):
+        h, s, v = colorsys.rgb_to_hsv(r, g, b)
+        if s >= profile["min_saturation"] and profile["min_value"] <= v <= profile["max_value"]:
+            front += 1
+            good += any((lo <= h * 360 <= hi) if lo <= hi else (h * 360 >= lo or h * 360 <= hi) for lo, hi in profile["hues"])
+            dark += v < profile["dark_warn"]
+    grey = [r * 0.299 + g * 0.587 + b * 0.114 for r, g, b in zip(red, green, blue)]
+    at = lambda y, x: grey[y * side + x]
+    edges = [at(y - 1, x) + at(y + 1, x) + at(y, x - 1) + at(y, x + 1) - 4 * at(y, x) for y in range(1, side - 1) for x in range(1, side - 1)]
+    mean = sum(edges) / len(edges) if edges else 0
+    blur = min(100, 1000 * sum((e - mean) ** 2 for e in edges) / len(edges)) if edges else 0
+    return front / side**2, good / front if front else 0.0, dark / front if front else 1.0, blur
+
+
+def test_image_features_of_mixed_shapes_equal_a_plain_loop(spark):
+    """Several shapes in one batch, tensors of a few images, many types an image, and images that cannot be read."""
+    rng, data = random.Random(4), []
+    for i in range(40):
+        side = (2, 4, 7)[i % 3]
+        types = rng.sample(["banana", "Bell__Pepper", "grape", "dragonfruit", "apple"], i % 4)
+        data.append((f"i{i}", types, side, side, *[[rng.random() for _ in range(side * side)] for _ in range(3)]))
+    broken = [("none", ["apple"], 2, 2, None, None, None), ("short", ["apple"], 2, 2, [0.1], [0.1], [0.1]), ("size", ["apple"], None, 2, [0.1], [0.1], [0.1]), ("types", None, 1, 1, [0.1], [0.1], [0.1])]
+    df = spark.createDataFrame(data + broken, IMAGE.replace("product_type string", "product_types array<string>"))
+    got = {(r.image_id, r.product_type): r for r in I.image_features(df.coalesce(1), I.quality_profiles(spark), tensor_pixels=100).collect()}
+    assert set(got) == {(d[0], t) for d in data for t in d[1]}
+    for name, types, side, _, *channels in data:
+        for t in types:
+            r, profile = got[name, t], I.PROFILES.get(t.lower().replace("__", "_"), I.PROFILES["default"])
+            want = _plain_measures(*channels, side, profile)
+            assert [r.foreground_area_ratio, r.accepted_color_ratio, r.dark_ratio, r.blur_score] == pytest.approx(want)
+            assert r.profile_known == (t in ("banana", "grape", "apple"))
+
+
+def test_hues_are_counted_by_search(spark):
+    rng = random.Random(5)
+    ranges = [[], [(0.0, 360.0)], [(340.0, 20.0), (10.0, 40.0), (40.0, 50.0)], [(70.0, 70.0)], [(5.0, 9.0), (100.0, 200.0), (150.0, 160.0)]]
+    hues = [[], [70.0, 70.0, 9.0], [float(rng.randrange(360)) for _ in range(33)], [float(rng.randrange(90)) for _ in range(64)]]
+    df = spark.createDataFrame([(h, r) for h in hues for r in ranges], "h array<double>, r array<struct<lo:double,hi:double>>")
+    found = df.select("h", "r", I.hues_accepted(F.array_sort("h"), I.merged_ranges(F.col("r"))).alias("n")).collect()
+    inside = lambda h, r: any((q.lo <= h <= q.hi) if q.lo <= q.hi else (h >= q.lo or h <= q.hi) for q in r)
+    assert len(found) == 20 and all(x.n == sum(inside(h, x.r) for h in x.h) for x in found)
+
+
 def test_hsv_of_pure_red_and_ties(spark):
     df = spark.createDataFrame([(1.0, 0.0, 0.0), (1.0, 1.0, 0.0), (0.3, 0.3, 0.3)], "r double, g double, b double")
     got = [tuple(r.c) for r in df.select(I.hsv(F.col("r"), F.col("g"), F.col("b")).alias("c")).collect()]
