@@ -252,6 +252,19 @@ def ingest_receipt(spark, sf):
     return O.ingest_receipt(O.apply_order_events(tables(spark, sf), valid))
 
 
+@register("order_receipts", query("""SELECT seq, 'ingested' AS status, order_id, customer_id, n_items::BIGINT AS ingested_order_lines, row_number() OVER (ORDER BY seq) AS orders_so_far,
+    sum(n_items) OVER (ORDER BY seq)::BIGINT AS lines_so_far FROM oe_valid""", "oe_valid"))
+def order_receipts(spark, sf):
+    return O.order_receipts(_orders(spark, sf)[0])
+
+
+@register("catalog_receipts", query("""SELECT seq, 'ingested' AS status, producer_id, (SELECT count(DISTINCT producer_id) FROM m_producers) + sum(fresh) OVER (ORDER BY seq)::BIGINT AS catalog_so_far
+    FROM (SELECT seq, producer_id, (row_number() OVER (PARTITION BY producer_id ORDER BY seq) = 1 AND producer_id NOT IN (SELECT producer_id FROM m_producers))::BIGINT AS fresh FROM pe_valid)""", "pe_valid", "m_producers"))
+def catalog_receipts(spark, sf):
+    valid = Ca.normalise_producer_events(star.producer_events(spark, sf))[0]
+    return Ca.catalog_receipts(tables(spark, sf).producers, valid, "producer_id")
+
+
 # --- history -------------------------------------------------------------------------------------
 
 view(
@@ -322,6 +335,12 @@ def apply_history_events(spark, sf):
     )
 
 
+@register("history_receipts", query("""SELECT seq, 'ingested' AS status, customer_id, 2 AS ingested_orders, 2::BIGINT AS ingested_order_lines, row_number() OVER (ORDER BY seq) AS batches_so_far,
+    2 * row_number() OVER (ORDER BY seq) AS lines_so_far FROM hb JOIN (SELECT seq FROM hb_checked WHERE reject_reason IS NULL) v USING (seq)""", "hb", "hb_checked"))
+def history_receipts(spark, sf):
+    return O.history_receipts(_history(spark, sf)[0]).drop("history_batch_id")
+
+
 # --- logs and streams ----------------------------------------------------------------------------
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
+from .joins import left_join_keyed
+from .ranking import ranked
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_FRACTION = ISO + ".SSSSSS"
@@ -77,7 +79,7 @@ def normalise_product_events(events: DataFrame, producers: DataFrame | None = No
     events = trimmed_ids(events, "producer_id", "product_id")
     if producers is not None:
         known = producers.select("producer_id").distinct().withColumn("_known", F.lit(True))
-        events = events.join(known, "producer_id", "left")
+        events = left_join_keyed(events, known, "producer_id", ["seq"])
         rules.append((F.col("_known").isNull(), "unknown producer_id"))
     checked = events.withColumn("reject_reason", first_reason(*rules))
     valid, rejected = _split(checked.drop("_known") if producers is not None else checked)
@@ -143,6 +145,20 @@ def apply_catalog_events(tables: Tables, producer_events: DataFrame, product_eve
     return apply_product_events(with_producers, valid)
 
 
+def catalog_receipts(base: DataFrame, valid: DataFrame, key: str) -> DataFrame:
+    """One row for each accepted catalogue event with the distinct ids of the catalogue up to it, in log order.
+
+    An id counts at its first event if the base table does not hold it; the flags are summed over range partitions.
+    """
+    named = valid.select("seq", key)
+    known = base.select(key).filter(F.col(key).isNotNull()).distinct()
+    first = named.join(known, key, "left_anti").groupBy(key).agg(F.min("seq").alias("_first"))
+    flagged = named.join(first, key, "left").withColumn("_new", F.coalesce(F.col("seq") == F.col("_first"), F.lit(False)).cast("bigint"))
+    counted = ranked(flagged.select("seq", key, "_new"), [], [F.col("seq")], total_of="_new")
+    before = known.select(F.count("*")).scalar()
+    return counted.select("seq", F.lit("ingested").alias("status"), key, (F.col("running") + before).alias("catalog_so_far"))
+
+
 def catalog_receipt(tables: Tables) -> DataFrame:
     """Distinct producers and products after an ingest."""
     producers = tables.producers.select(F.countDistinct("producer_id")).scalar()

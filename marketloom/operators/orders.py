@@ -11,7 +11,8 @@ from ..sources.tables import Tables
 from ..session import cut, fresh_path
 from .catalog import _blank, first_reason, trimmed_ids
 from .components import connected
-from .ranking import placed
+from .joins import left_join_keyed
+from .ranking import placed, ranked
 
 ORDER_SOURCE = "order_event"
 HISTORY_SOURCE = "history_backfill"
@@ -44,10 +45,8 @@ def order_checks(tables: Tables, events: DataFrame, log_ids: DataFrame | None) -
     known_orders = tables.orders.select("order_id")
     if log_ids is not None:
         known_orders = known_orders.unionByName(log_ids.select("order_id"))
-    flagged = (
-        events.join(_known(known_orders, "order_id", "_dup"), "order_id", "left")
-        .join(_known(tables.customers, "customer_id", "_customer"), "customer_id", "left")
-    )
+    flagged = left_join_keyed(events, _known(known_orders, "order_id", "_dup"), "order_id", ["seq"])
+    flagged = left_join_keyed(flagged, _known(tables.customers, "customer_id", "_customer"), "customer_id", ["seq"])
     lines = events.select("seq", F.explode("items").alias("i")).select("seq", F.col("i.product_id").alias("product_id"))
     unknown = (
         lines.join(tables.products.select("product_id"), "product_id", "left_anti").select("seq").distinct().withColumn("_unknown", F.lit(True))
@@ -80,7 +79,7 @@ def validate_order_events(tables: Tables, events: DataFrame, log_ids: DataFrame
     checked = order_checks(tables, events, log_ids)
     # Only an otherwise valid event can be "accepted earlier".
     first = checked.filter(F.col("reject_reason").isNull()).groupBy("order_id").agg(F.min("seq").alias("_first"))
-    placed = checked.join(first, "order_id", "left")
+    placed = left_join_keyed(checked, first, "order_id", ["seq"])
     repeat = F.coalesce(F.col("seq") > F.col("_first"), F.lit(False))
     # Duplicate comes right after a missing id, so it overrides the reasons behind it.
     reason = F.when((F.col("reject_reason") == "missing order_id"), F.col("reject_reason")).when(repeat, F.lit("duplicate order_id")).otherwise(
@@ -232,6 +231,25 @@ def apply_history_events(tables: Tables, accepted_batches: DataFrame) -> Tables:
     return apply_order_events(tables, normalise_order_events(flat, HISTORY_SOURCE))
 
 
+def order_receipts(valid: DataFrame) -> DataFrame:
+    """One row for each accepted order event: its lines, and the orders and lines taken in up to it, in log order."""
+    lines = valid.select("seq", "order_id", "customer_id", F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("ingested_order_lines"))
+    return _so_far(lines).select("seq", F.lit("ingested").alias("status"), "order_id", "customer_id", "ingested_order_lines", "orders_so_far", "lines_so_far")
+
+
+def history_receipts(accepted: DataFrame) -> DataFrame:
+    """One row for each accepted history batch: its orders and lines, and the batches and lines taken in up to it."""
+    held = F.aggregate("orders", F.lit(0).cast("bigint"), lambda n, o: n + F.coalesce(F.size(o["items"]), F.lit(0)))
+    lines = accepted.select("seq", "history_batch_id", "customer_id", F.size("orders").alias("ingested_orders"), held.alias("ingested_order_lines"))
+    return _so_far(lines).withColumn("status", F.lit("ingested")).withColumnRenamed("orders_so_far", "batches_so_far")
+
+
+def _so_far(lines: DataFrame) -> DataFrame:
+    """Running counts over range partitions: no task sees more than its own rows."""
+    counted = ranked(lines, [], [F.col("seq")], total_of="ingested_order_lines")
+    return counted.withColumnRenamed("rank", "orders_so_far").withColumnRenamed("running", "lines_so_far")
+
+
 def ingest_receipt(tables: Tables) -> DataFrame:
     """Distinct orders and joined order lines after an ingest."""
     lines = tables.order_items.join(tables.orders.select("order_id"), "order_id").select(F.count("*")).scalar()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import left_join_keyed
 from ..functions.business import (
     freshness_score,
     legacy_action,
@@ -323,9 +324,12 @@ def select_operating_point(results: DataFrame, by: list[str] | None = None) -> D
 
 
 def manifest_join(preds: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Predictions with the expected label of the same file name (left; repeated names fan out)."""
+    """Predictions with the expected label of the same file name (left; repeated names fan out, a
+    null or blank name matches nothing)."""
     expected = manifest.select(file_name(F.col("image_path")).alias("image_filename"), "expected_class", "notes")
-    return preds.withColumn("image_filename", file_name(F.col("image_path"))).join(expected, "image_filename", "left")
+    named = preds.withColumn("image_filename", file_name(F.col("image_path")))
+    plain = [f.name for f in preds.schema.fields if f.dataType.typeName() != "map"]
+    return left_join_keyed(named, expected, "image_filename", plain)
 
 
 def _same_or_missing(actual: Column, expected: Column) -> Column:
