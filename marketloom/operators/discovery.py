@@ -16,7 +16,7 @@ from ..functions.seasons import seasonal_flag
 from ..session import cut
 from .baskets import basket_pairs
 from .blocked import Block, blocked_product
-from .lines import customer_types, keyed, product_popularity, segment_popularity
+from .lines import customer_types, keyed, product_popularity, roll_up, segment_popularity
 from .ranking import placed, top_k
 
 COOCCURRENCE = "co_occurrence_discovery"
@@ -47,7 +47,7 @@ def purchase_pairs(lines: DataFrame) -> DataFrame:
 class Basis:
     """What discovery reads from order lines, each made once and shared by all methods.
 
-    Lines are scanned twice: for one roll-up by customer, product and type, from which purchases, sales, types and the last
+    Lines are scanned twice: for one roll-up by customer, product, type and category, from which purchases, sales, types and the last
     day follow, and for baskets. Both are far smaller than the lines and are read many times, so they are written to
     the shared folder.
     """
@@ -58,13 +58,12 @@ class Basis:
 
     @cached_property
     def rolled(self) -> DataFrame:
-        """Quantity and last day by customer, product and customer type, each of which may be null."""
-        return cut(self.lines.groupBy("customer_id", "product_id", "customer_type").agg(F.sum("quantity").alias("quantity"), F.max("order_date").alias("last_day")))
+        return roll_up(self.lines)
 
     @cached_property
     def as_of(self) -> Column:
         """The day after the last order, unless given: one date, looked up once."""
-        return F.date_add(F.lit(self.rolled.agg(F.max("last_day")).first()[0]).cast("date"), 1) if self.given is None else self.given
+        return F.date_add(F.lit(self.rolled.agg(F.max("order_date")).first()[0]).cast("date"), 1) if self.given is None else self.given
 
     @cached_property
     def purchases(self) -> DataFrame:

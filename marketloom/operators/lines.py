@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
+from ..session import cut
 from ..sources.tables import Tables
 from .ranking import with_group_max
 
@@ -55,6 +56,17 @@ def dataset_summary(tables: Tables) -> DataFrame:
     )
 
 
+def roll_up(lines: DataFrame) -> DataFrame:
+    """The lines summed by customer, product, customer type and category (each may be null), written once.
+
+    Quantities are sums and ``order_date`` is the last one, under the names they have in the lines, so every aggregate
+    below gives the same on a roll-up as on its lines, and the star join runs once for all of them. Counts of lines or
+    orders are not kept.
+    """
+    keys = ["customer_id", "product_id", "customer_type", "category"]
+    return cut(lines.groupBy(*keys).agg(F.sum("quantity").alias("quantity"), F.max("order_date").alias("order_date")))
+
+
 def next_day(lines: DataFrame) -> Column:
     """The day after the last order: the default recommendation date, as a scalar subquery."""
     return F.date_add(lines.select(F.max("order_date")).scalar(), 1)

@@ -75,10 +75,10 @@ def _for_targets(df: DataFrame, targets: DataFrame | None) -> DataFrame:
 
 
 def _user_frequency(own: DataFrame, lines: DataFrame, products: DataFrame, k: int) -> DataFrame:
-    per_customer = Window.partitionBy("customer_id")
-    stats = customer_product_stats(own).withColumn("_top", F.max("quantity").over(per_customer))
-    # Cut before the catalogue lookup: a product that left the catalogue leaves a gap.
-    best = top_k(stats, ["customer_id"], [F.desc("quantity"), F.asc("product_id")], k)
+    # Cut before the catalogue lookup: a product that left the catalogue leaves a gap. The largest quantity is that of
+    # the first row, so it is taken from the k rows left and the cut can start before the shuffle.
+    best = top_k(customer_product_stats(own), ["customer_id"], [F.desc("quantity"), F.asc("product_id")], k)
+    best = best.withColumn("_top", F.max("quantity").over(Window.partitionBy("customer_id")))
     return (
         best.join(_catalogue(products), "product_id")
         .join(customer_types(own), "customer_id")
@@ -131,14 +131,17 @@ def reorder(
     k: int = 3,
     targets: DataFrame | None = None,
     as_of: Column | None = None,
+    rolled: DataFrame | None = None,
 ) -> DataFrame:
     """Top-k reorder list per target customer (every customer with lines when targets is None).
 
-    Customers without history get the popular list under the caller's method name.
+    Customers without history get the popular list under the caller's method name. A caller that runs several methods, or
+    discovery too, gives their shared roll-up of the lines (``lines.roll_up``); the lines are then not read.
     """
     if method not in REORDER_METHODS:
         raise ValueError(f"unsupported reorder method: {method}")
     k = max(1, int(k))
+    lines = lines if rolled is None else rolled
     own = _for_targets(lines, targets)
     if method == GLOBAL_POPULARITY:
         customers = customer_types(own)

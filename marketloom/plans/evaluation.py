@@ -162,7 +162,9 @@ def evaluate_reorder(tables: Tables, k: int = 3, methods: list[str] | None = Non
     """Reorder methods on test purchases; history is the training part, the catalogue unfiltered."""
     methods = methods or R.REORDER_METHODS
     s = split or prepare(tables)
-    recs = cut(_union([R.reorder(s.train, tables.products, m, k, s.customers, s.as_of) for m in methods]))
+    # A split that is shared with discovery has the roll-up anyway; for these methods alone it would not pay.
+    rolled = s.basis.rolled if split else None
+    recs = cut(_union([R.reorder(s.train, tables.products, m, k, s.customers, s.as_of, rolled) for m in methods]))
     metrics = list_metrics(recs, s.test_products, ["method"], k, tables)
     cold = with_code(recs, ["cold_start_fallback"], ["method"], "cold_start_fallback_count")
     full = _with_all_groups(metrics.join(cold, "method", "left"), "method", methods)
@@ -213,7 +215,7 @@ def alpha_study(tables: Tables, k: int = 3, alphas: list[float] | None = None, s
     s = split or prepare(tables)
     unseen = cut(s.test_products.join(s.basis.history, ["customer_id", "product_id"], "left_anti"))
     columns = ["branch", "customer_id", "rank", "product_id", "producer_id", "score", "reason_codes"]
-    first = R.reorder(s.train, tables.products, R.FREQUENCY_RECENCY, 4 * k, s.customers, s.as_of)
+    first = R.reorder(s.train, tables.products, R.FREQUENCY_RECENCY, 4 * k, s.customers, s.as_of, s.basis.rolled)
     second = D.discover(s.train, tables.products, D.COOCCURRENCE, 4 * k, unseen.select("customer_id").distinct(), s.as_of, s.basis)
     lists = first.withColumn("branch", F.lit("quick_reorder")).select(*columns).unionByName(
         second.withColumn("branch", F.lit("discovery")).withColumn("score", round6(F.col("score"))).select(*columns)

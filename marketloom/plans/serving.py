@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import discovery as D
 from ..operators import reorder as R
 from ..operators.catalog import apply_catalog_events
-from ..operators.lines import available_products, next_day, order_lines
+from ..operators.lines import available_products, order_lines
 from ..operators.orders import apply_history_events, apply_order_events, validate_history, validate_order_events
 from ..session import cut
 from ..sources.tables import Tables
@@ -39,11 +39,12 @@ def hybrid_recommendations(
     without history gets the type of the customer table.
     """
     lines = order_lines(tables)
-    as_of = next_day(lines)
     products = available_products(tables.products)
-    lists = R.reorder(lines, products, method, k, targets, as_of).withColumn("section", F.lit("quick_reorder")).select(*LIST_COLUMNS)
+    basis = D.Basis(lines, products)
+    as_of = basis.as_of
+    lists = R.reorder(lines, products, method, k, targets, as_of, basis.rolled).withColumn("section", F.lit("quick_reorder")).select(*LIST_COLUMNS)
     if include_discovery:
-        found = D.discover(lines, products, D.COOCCURRENCE, k, targets, as_of)
+        found = D.discover(lines, products, D.COOCCURRENCE, k, targets, as_of, basis)
         found = found.withColumn("section", F.lit("you_may_also_like")).withColumn("rank", F.col("rank").cast("int"))
         lists = lists.unionByName(found.select(*LIST_COLUMNS))
     types = tables.customers.groupBy("customer_id").agg(F.min("customer_type").alias("_type"))

@@ -34,6 +34,22 @@ def test_large_baskets_split_into_blocks_give_the_same_pairs(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("method", R.REORDER_METHODS)
+def test_roll_up_stands_for_the_lines(spark, method):
+    t = tables(spark)
+    lines = L.order_lines(t)
+    # Repeated purchases, a line without customer and a product without type or category.
+    odd = lines.withColumn("customer_id", F.when(F.col("order_id") != "O000004", F.col("customer_id")))
+    odd = odd.withColumn("category", F.when(F.col("product_id") != "P000003", F.col("category")))
+    rolled = L.roll_up(odd.unionByName(odd))
+    wanted = ids(spark, "C000001", "C000002", "C000003", "C000009")
+    a = R.flat_export(R.reorder(odd.unionByName(odd), t.products, method, 2, wanted))
+    b = R.flat_export(R.reorder(None, t.products, method, 2, wanted, L.next_day(rolled), rolled))
+    assert rows(a, *a.columns) == rows(b, *a.columns)
+    plan = b._jdf.queryExecution().optimizedPlan().toString()
+    assert "unit_price" not in plan and "total_amount" not in plan
+
+
 def test_reorder_user_frequency_and_cold_start(spark):
     t = tables(spark)
     lines = L.order_lines(t)
