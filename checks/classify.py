@@ -747,15 +747,17 @@ def prediction_feedback(spark, sf):
 # --- sinks ---------------------------------------------------------------------------------------
 
 
-@register("report_sinks", query("SELECT model, class_name, f1_score, support FROM report", "report"))
+@register("report_sinks", query("SELECT format, report.* FROM report, (VALUES ('csv'), ('json'), ('parquet')) f(format)", "report"))
 def report_sinks(spark, sf):
-    """Writes the report as CSV, JSON and Parquet and reads the CSV back."""
+    """Writes the report as CSV, JSON and Parquet and reads all three back whole."""
     path = fresh_path(spark, "report")
     report = cut(P.classification_report(preds(spark, sf), ["model"]))
+    back = []
     for fmt in ("csv", "json", "parquet"):
         Rp.write_report(report, f"{path}/{fmt}", fmt, ["model", "class_name"])
-    back = spark.read.option("header", True).schema(report.schema).csv(f"{path}/csv")
-    return back.select("model", "class_name", "f1_score", "support")
+        options = Rp.CSV if fmt == "csv" else {}
+        back.append(spark.read.schema(report.schema).options(**options).format(fmt).load(f"{path}/{fmt}").withColumn("format", F.lit(fmt)))
+    return back[0].unionByName(back[1]).unionByName(back[2])
 
 
 @register("experiment_summary_pack", query("""SELECT 'model_comparison_summary' AS file, count(*) AS rows FROM totals UNION ALL
