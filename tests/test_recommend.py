@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,6 +278,33 @@ def test_blocked_sums_equal_a_plain_loop(spark, monkeypatch):
     assert nothing.count() == 0
 
 
+def test_attributes_go_to_a_few_blocks_for_each_core(spark):
+    """Every block gets the attributes of all products, so the number of blocks must not grow with the customers."""
+    customers = spark.range(50_000).withColumnRenamed("id", "customer_id")
+    history = customers.withColumn("product_id", F.col("customer_id") % 10)
+    edges = spark.createDataFrame([(a, b, 1) for a in range(10) for b in range(10) if a != b], "product_a long, product_b long, n long")
+    products = spark.range(10).withColumnRenamed("id", "product_id")
+
+    def finish(block):
+        yield pa.RecordBatch.from_arrays([pa.array([sum(len(b) for b in block.customers)])], names=["customers"])
+
+    held = [r.customers for r in blocked.blocked_product(history, edges, customers, products, finish, "customers long").collect()]
+    assert sum(held) == 50_000 and len(held) <= 3 * spark.sparkContext.defaultParallelism
+
+
+def test_discovery_names_the_three_products_with_most_shared_baskets(spark):
+    baskets = [("P1", "P9")] * 3 + [("P2", "P9")] * 2 + [("P3", "P9"), ("P4", "P9"), ("P5", "P8")]
+    data = [(f"O{i}", f"D{i}", p) for i, b in enumerate(baskets) for p in b] + [(f"X{p}", "C1", f"P{p}") for p in range(1, 6)]
+    lines = spark.createDataFrame([(o, c, "family", p, 1.0) for o, c, p in data], "order_id string, customer_id string, customer_type string, product_id string, quantity double")
+    lines = lines.withColumn("order_date", F.lit("2026-01-01").cast("date"))
+    products = spark.createDataFrame(
+        [(f"P{i}", f"name {i}", "food", f"PR{i}", 1, 12) for i in range(1, 10)],
+        "product_id string, product_name string, category string, producer_id string, seasonal_start_month int, seasonal_end_month int",
+    )
+    got = D.discover(lines, products, D.COOCCURRENCE, 2, ids(spark, "C1"))
+    assert rows(got, "product_id", "based_on") == [("P8", "P5"), ("P9", "P1|P2|P3")]
+
+
 @pytest.mark.parametrize("rows", [1, 10**6])
 def test_measured_ranks_are_exact(spark, rows):
     data = [(i, i % 3, (i * 7) % 101) for i in range(101)]
