@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import monitoring as Mo
+from marketloom.sources import logs
 from marketloom.streaming import jobs as J
 
 ORDER = "order_id string, customer_id string, order_date string, items array<struct<product_id:string,quantity:double,unit_price:double>>, event_ts timestamp"
@@ -87,3 +88,24 @@ def test_daily_feedback_equals_batch_at_any_distance(spark, tmp_path):
         rows = spark.createDataFrame(all_said, FEEDBACK).withColumn("created_at", F.col("feedback_ts")).withColumn("model_name", F.lit(None).cast("string"))
         want = Mo.feedback_metrics(rows, spark.createDataFrame(all_told, PREDICTION)).filter("level = 'day'").select(F.col("key").alias("day"), *got.columns[1:])
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_the_state_of_feedback_needs_no_python(spark, tmp_path):
+    """A Python call for each prediction id took milliseconds an id; both states are aggregates of Spark's own."""
+    frame = lambda schema: spark.readStream.schema(schema).json(str(tmp_path))
+    plans = [J.stream_feedback_counts(frame(FEEDBACK)), J.stream_latest_predictions(frame(PREDICTION), ["seq"])]
+    for plan in plans:
+        assert "Pandas" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_files_of_an_append_do_not_go_by_the_shuffle_partitions(spark, tmp_path):
+    """A reader takes files by number, so files of a few events are micro-batches of a few events."""
+    at, before = str(tmp_path / "log"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        logs.append_log(spark.range(1000).select(F.col("id").alias("seq"), F.lit("x").alias("source")), None, at)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(list((tmp_path / "log").glob("part-*"))) <= logs.FEW_FILES
+    log = logs.read_log(spark, at, "producer")
+    assert log.count() == 1000 and log.select("seq").distinct().count() == 1000
