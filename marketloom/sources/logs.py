@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,9 @@ LOG_SCHEMAS = {
 }
 
 
+#: Events of one file of an append, at most about; files of a smaller append.
+FILE_EVENTS, FEW_FILES = 500_000, 8
+
 SEQ = "struct<append:bigint,row:bigint,file:string,part:bigint,line:bigint>"
 
 
@@ -96,11 +100,12 @@ def append_log(valid: DataFrame, rejected: DataFrame | None, path: str, quaranti
     """Append a batch of accepted events; rejected ones go to the quarantine folder.
 
     Each event is written with its position. Where events have a ``seq``, they keep its order: they are range-partitioned
-    by it, so no task sorts all. Appends are ordered by the driver's clock.
+    by it, so no task sorts all. The number of files goes by the events: readers of the stream take files by number, and each
+    micro-batch commits all of their state. Appends are ordered by the driver's clock.
     """
     ordered = valid
     if "seq" in valid.columns:
-        parts = int(valid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(FEW_FILES, math.ceil(valid.count() / FILE_EVENTS))
         ordered = valid.repartitionByRange(parts, "seq").sortWithinPartitions("seq").drop("seq")
     position = F.struct(F.lit(time.time_ns() // 1000).alias("append"), F.monotonically_increasing_id().alias("row"))
     ordered.withColumn("position", position).write.mode("append").json(path)
