@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from marketloom.session import cut, fresh_path
 from marketloom.sources import retail_star as star
 
 from . import sql as Q
-from .sql import K, codes, condition, distinct_join, produce, produce_of, query, r, status, view
+from .sql import K, VIEWS, codes, condition, distinct_join, produce, produce_of, query, r, status, view
 
 QUERIES, ORACLE = {}, {}
 
@@ -423,8 +425,10 @@ PROFILE_ROWS = ", ".join(
 )
 view("profiles", f"SELECT * FROM (VALUES {PROFILE_ROWS}) t(profile, hues, dark_warn, dark_fail, min_s, min_v, max_v)")
 view("images", f"SELECT e.vec_id AS image_id, p.product_type FROM embeddings e CROSS JOIN (SELECT DISTINCT {produce_of('predicted_class')} AS product_type FROM preds) p WHERE e.vec_id % 41 <> 0", "preds")
+view("images_whole", f"SELECT e.vec_id AS image_id, p.product_type FROM embeddings e CROSS JOIN (SELECT DISTINCT {produce_of('predicted_class')} AS product_type FROM preds) p", "preds")
 VAL = "greatest(0.0::DOUBLE, least(1.0::DOUBLE, (embedding[({i}) % 64 + 1]::DOUBLE + 0.6::DOUBLE) / 1.2::DOUBLE))"
 view("px", f"SELECT vec_id AS image_id, i, i // 8 AS y, i % 8 AS x, {VAL.format(i='i')} AS rd, {VAL.format(i='i + 21')} AS gr, {VAL.format(i='i + 42')} AS bl FROM embeddings, generate_series(0, 63) g(i) WHERE vec_id % 41 <> 0")
+view("px_whole", f"SELECT vec_id AS image_id, i, i // 8 AS y, i % 8 AS x, {VAL.format(i='i')} AS rd, {VAL.format(i='i + 21')} AS gr, {VAL.format(i='i + 42')} AS bl FROM embeddings, generate_series(0, 63) g(i)")
 view(
     "hsv_px",
     """SELECT image_id, i, y, x, rd, gr, bl, hi AS v, CASE WHEN hi > 1e-8 THEN d / hi ELSE 0.0::DOUBLE END AS s,
@@ -466,6 +470,18 @@ view(
         FROM (SELECT *, {CLAMP.format('100.0::DOUBLE - abs(mean_v - 0.55::DOUBLE) * 180.0::DOUBLE')} AS bright FROM measured) m JOIN blur b ON b.image_id = m.image_id""",
     "measured", "blur",
 )
+WHOLE = ["images", "px", "hsv_px", "measured", "g", "blur", "features", "components"]
+
+
+def view_whole(name: str) -> None:
+    """The view over all images, none of them without pixels, under the name with ``_whole``."""
+    needs, text = VIEWS[name]
+    over = re.sub(rf"\b(FROM|JOIN) ({'|'.join(WHOLE)})\b", r"\1 \2_whole", text)
+    view(f"{name}_whole", over, *[f"{n}_whole" if n in WHOLE else n for n in needs])
+
+
+for _name in WHOLE[2:-1]:
+    view_whole(_name)
 SCORES = ["image_quality_score", "color_score", "defect_absence_score", "size_proxy_score", "dark_ratio", "accepted_color_ratio", "blur_score", "brightness_score", "foreground_area_ratio"]
 ROUND_SCORES = ", ".join(f"{r(c)} AS {c}" for c in SCORES)
 
@@ -477,7 +493,7 @@ def produce_types(spark, sf) -> DataFrame:
 def images(spark, sf) -> DataFrame:
     """Every image for each of the (at most 14) product types."""
     types = F.array(*[F.lit(p) for p in star.PRODUCE])
-    return star.pixel_images(spark, sf).withColumn("product_types", types)
+    return star.some_unreadable(star.pixel_images(spark, sf)).withColumn("product_types", types)
 
 
 def features(spark, sf) -> DataFrame:
@@ -490,7 +506,7 @@ def image_features(spark, sf):
     return f.select("image_id", "product_type", "profile_known", *[round6(F.col(c)).alias(c) for c in SCORES], "feature_warnings")
 
 
-@register("hsv", query(f"SELECT image_id, i::INTEGER AS i, {r('h')} AS hue, {r('s')} AS saturation, {r('v')} AS value FROM hsv_px", "hsv_px"))
+@register("hsv", query(f"SELECT image_id, i::INTEGER AS i, {r('h')} AS hue, {r('s')} AS saturation, {r('v')} AS value FROM hsv_px_whole", "hsv_px_whole"))
 def hsv(spark, sf):
     px = star.pixel_images(spark, sf).select("image_id", F.posexplode(F.arrays_zip("red", "green", "blue")).alias("i", "p"))
     values = px.select("image_id", "i", I.hsv(F.col("p.red"), F.col("p.green"), F.col("p.blue")).alias("c"))
@@ -498,14 +514,14 @@ def hsv(spark, sf):
 
 
 @register("hue_range_join", query(f"""SELECT image_id, product_type, sum(ok::INT)::BIGINT AS accepted_pixels FROM
-    (SELECT image_id, product_type, {HUE_OK} AS ok FROM (SELECT i.image_id, i.product_type, coalesce(p.profile, 'default') AS pk FROM images i LEFT JOIN profiles p ON p.profile = lower(i.product_type)) k
-     JOIN profiles f ON f.profile = k.pk JOIN hsv_px h USING (image_id)) GROUP BY ALL""", "images", "profiles", "hsv_px"))
+    (SELECT image_id, product_type, {HUE_OK} AS ok FROM (SELECT i.image_id, i.product_type, coalesce(p.profile, 'default') AS pk FROM images_whole i LEFT JOIN profiles p ON p.profile = lower(i.product_type)) k
+     JOIN profiles f ON f.profile = k.pk JOIN hsv_px_whole h USING (image_id)) GROUP BY ALL""", "images_whole", "profiles", "hsv_px_whole"))
 def hue_range_join(spark, sf):
     """Pixels are neither exploded nor shuffled: the hues of an image are sorted once, and each type searches them."""
     wanted = I.quality_profile_join(spark.createDataFrame([(p,) for p in star.PRODUCE], "product_type string"), I.quality_profiles(spark))
     types = wanted.select(F.struct("product_type", I.merged_ranges(F.col("hue_ranges")).alias("ranges")).alias("t")).agg(F.collect_list("t")).scalar()
     hues = F.transform(F.arrays_zip("red", "green", "blue"), lambda p: I.hsv(p["red"], p["green"], p["blue"])["hue"])
-    sorted_once = star.pixel_images(spark, sf).filter("red IS NOT NULL").select("image_id", F.array_sort(hues).alias("hues"), types.alias("types"))
+    sorted_once = star.pixel_images(spark, sf).select("image_id", F.array_sort(hues).alias("hues"), types.alias("types"))
     counts = F.transform("types", lambda t: F.struct(t["product_type"].alias("product_type"), I.hues_accepted(F.col("hues"), t["ranges"]).alias("accepted_pixels")))
     return sorted_once.select("image_id", F.inline(counts))
 
@@ -529,6 +545,9 @@ view(
 )
 
 
+view_whole("components")
+
+
 def decision_sql(source: str) -> str:
     """Quality decision over component rows with weights w1..w5."""
     small = "coalesce(top1_top2_margin < 0.15, false)"
@@ -561,29 +580,30 @@ DEFAULT_W = "0.45::DOUBLE AS w1, 0.25::DOUBLE AS w2, 0.15::DOUBLE AS w3, 0.1::DO
 view("decisions", decision_sql(f"SELECT *, {DEFAULT_W} FROM components"), "components")
 
 
-def _used_images(spark, sf, rows: DataFrame) -> DataFrame:
+def _used_images(spark, sf, rows: DataFrame, whole: bool = False) -> DataFrame:
     types = rows.groupBy("image_id").agg(F.collect_set("product_type").alias("product_types"))
-    return star.pixel_images(spark, sf).join(types, "image_id")
+    images = star.pixel_images(spark, sf)
+    return (images if whole else star.some_unreadable(images)).join(types, "image_id")
 
 
-def quality_rows(spark, sf) -> DataFrame:
+def quality_rows(spark, sf, whole: bool = False) -> DataFrame:
     """Predictions joined with the features of their image: an image is read once and measured for the product types that occur
-    with it. Predictions whose image gives no features are those of ``missing_images``."""
+    with it. Unless the images are ``whole``, predictions whose image gives no features are those of ``missing_images``."""
     p = star.top_predictions_json(preds(spark, sf))
     count = star.read(spark, sf, "embeddings").select(F.count("*")).scalar()
     rows = p.select(
         "*", (F.col("event_id") % count).alias("image_id"), C.produce_of(F.col("predicted_class")).alias("product_type"),
         C.status_of(F.col("predicted_class")).alias("condition"), Bz.parse_top_k(F.col("top_predictions")).alias("top_k"),
     )
-    return rows.join(I.image_features(_used_images(spark, sf, rows), I.quality_profiles(spark)), ["image_id", "product_type"])
+    return rows.join(I.image_features(_used_images(spark, sf, rows, whole), I.quality_profiles(spark)), ["image_id", "product_type"])
 
 
 COMPONENT_COLUMNS = ["c_model_condition", "c_color", "c_defect_absence", "c_image_quality", "c_size_proxy", "c_ripeness"]
 
 
-@register("quality_components", query(f"SELECT event_id, {', '.join(COMPONENT_COLUMNS)} FROM components", "components"))
+@register("quality_components", query(f"SELECT event_id, {', '.join(COMPONENT_COLUMNS)} FROM components_whole", "components_whole"))
 def quality_components(spark, sf):
-    return Ql.quality_components(quality_rows(spark, sf)).select("event_id", *COMPONENT_COLUMNS)
+    return Ql.quality_components(quality_rows(spark, sf, whole=True)).select("event_id", *COMPONENT_COLUMNS)
 
 
 @register("quality_overall", query("SELECT event_id, overall_quality_score FROM decisions", "decisions"))
