@@ -301,8 +301,9 @@ def test_discovery_names_the_three_products_with_most_shared_baskets(spark):
         [(f"P{i}", f"name {i}", "food", f"PR{i}", 1, 12) for i in range(1, 10)],
         "product_id string, product_name string, category string, producer_id string, seasonal_start_month int, seasonal_end_month int",
     )
-    got = D.discover(lines, products, D.COOCCURRENCE, 2, ids(spark, "C1"))
-    assert rows(got, "product_id", "based_on") == [("P8", "P5"), ("P9", "P1|P2|P3")]
+    for catalogue in (products, products.unionByName(products.filter("product_id = 'P1'"))):
+        got = D.discover(lines, catalogue, D.COOCCURRENCE, 2, ids(spark, "C1"))
+        assert rows(got, "product_id", "based_on") == [("P8", "P5"), ("P9", "P1|P2|P3")]
 
 
 @pytest.mark.parametrize("rows", [1, 10**6])
