@@ -314,3 +314,28 @@ def test_measured_ranks_are_exact(spark, rows):
     for g in range(3):
         order = sorted((v, i) for i, gg, v in data if gg == g)
         assert all(got[i] == at + 1 for at, (_, i) in enumerate(order))
+
+
+def test_shuffle_partitions_grow_with_the_lines(spark, monkeypatch):
+    from marketloom import session
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        L.order_lines(tables(spark))
+        assert spark.conf.get(key) == before
+        spark.conf.set(key, "2")
+        monkeypatch.setattr(session, "PARTITION_ROWS", 2)
+        assert L.order_lines(tables(spark)).count() == 7 and spark.conf.get(key) == "4"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_scores_read_the_lines_once_for_stats_and_types(spark):
+    lines, products = _discovery_fixture(spark)
+    untold = lines.withColumns({"category": F.lit("food"), "product_id": F.when(F.col("order_id") != "O1", F.col("product_id"))})
+    scored = R.score_frequency_recency(untold, untold, products, F.lit("2026-01-02").cast("date"))
+    assert rows(scored, "customer_id", "customer_type", "product_id") == [("C2", "family", "P1"), ("C2", "family", "P2"), ("C3", "family", "P1"), ("C3", "family", "P3")]
+    # With the catalogue, the affinity and its maximum; the types need none of their own.
+    joins = scored._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins == 3, joins
