@@ -33,6 +33,23 @@ def conf(spark):
         spark.conf.set(key, value)
 
 
+def test_partitions_of_large_inputs_are_not_merged_up_to_64_mb(spark, conf):
+    conf(S.ADVISORY_CONF, "64MB")
+    S.spread(spark.range(S.PARTITION_ROWS))
+    assert spark.conf.get(S.ADVISORY_CONF) == "64MB"
+    S.spread(spark.range(2 * S.PARTITION_ROWS))
+    assert S._megabytes(spark.conf.get(S.ADVISORY_CONF)) == S.PARTITION_MB
+    conf(S.ADVISORY_CONF, "1048576b")
+    S.spread(spark.range(2 * S.PARTITION_ROWS))
+    assert spark.conf.get(S.ADVISORY_CONF) == "1048576b"
+
+
 def test_basket_pairs_make_the_baskets_once(spark):
     plan = optimized(B.basket_pairs(L.order_lines(tables(spark))))
     assert "LogicalRDD" not in plan and "LocalRelation" not in plan and plan.count("Join ") == 4, plan
+
+
+def test_lines_meet_products_last(spark):
+    """Customers join the orders and producers the products, so lines are not shuffled for them."""
+    first = next(x for x in optimized(L.order_lines(tables(spark))).splitlines() if "Join " in x)
+    assert "product_id" in first, first
