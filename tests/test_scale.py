@@ -53,3 +53,16 @@ def test_lines_meet_products_last(spark):
     """Customers join the orders and producers the products, so lines are not shuffled for them."""
     first = next(x for x in optimized(L.order_lines(tables(spark))).splitlines() if "Join " in x)
     assert "product_id" in first, first
+
+
+def test_scores_stay_together_by_customer(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    t = tables(spark)
+    stats = R._typed_stats(L.order_lines(t), R._catalogue(t.products.filter("product_id <> 'P000001'")))
+    # The largest quantity counts the product that is not listed.
+    assert rows(stats, "customer_id", "product_id", "product_name", "customer_type", "quantity", "_top") == [
+        ("C000001", "P000002", "Apples", "family", 1.0, 5.0), ("C000002", "P000003", "Potatoes", "restaurant", 10.0, 10.0),
+        ("C000003", "P000002", "Apples", "community_group", 3.0, 3.0),
+    ]
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(D.shortlist(stats.withColumn("score", F.col("quantity")), 2)) == exchanges(stats)
