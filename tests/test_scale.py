@@ -66,3 +66,22 @@ def test_scores_stay_together_by_customer(spark, conf):
     ]
     exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     assert exchanges(D.shortlist(stats.withColumn("score", F.col("quantity")), 2)) == exchanges(stats)
+
+
+def test_candidates_from_purchases_of_more_customers(spark):
+    rng = random.Random(7)
+    listed = [("*", p, f"n{p}", rng.randrange(5), 0.5, 1.0, round(rng.random(), 2)) for p in range(30)]
+    lists = D.rank_lists(spark.createDataFrame(listed, "list string, product_id long, product_name string, producer_id long, popularity double, season double, score double"))
+    pairs = [(c, p) for c in range(20) for p in rng.sample(range(30), rng.randrange(25))]
+    history = spark.createDataFrame(pairs, "customer_id long, product_id long")
+    everyone = spark.range(20).select(F.col("id").alias("customer_id"), F.lit("*").alias("list"))
+    some = everyone.filter("customer_id % 3 = 0")
+    found = lambda **given: rows(D.popularity_candidates(some, history, lists, 3, **given), "customer_id", "product_id")
+    assert found(bought=D.bought_in_lists(everyone, history, lists)) == found()
+    assert not set(found()) & set(pairs)
+
+
+def test_greedy_step_computes_its_pick_once(spark):
+    schema = "customer_id long, product_id long, producer_id long, score double, diversity_adjustment double, reason_codes array<string>"
+    chosen = D.diversity_rerank(spark.createDataFrame([(1, 1, 1, 0.5, 0.0, ["x"])], schema), 3)
+    assert optimized(chosen).count("lambdafunction(") < 40
