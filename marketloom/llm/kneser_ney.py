@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 import xxhash
-from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, fresh_path
+from ..session import cut
+from ..store import Store, shared_store
 from .toxicity import fold
 
 #: No word holds a blank, so this is none.
@@ -44,60 +42,6 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[heads], np.add.reduceat(counts[order], heads)
 
 
-@dataclass
-class Store:
-    """The model's sorted arrays, one file each for every shard, in a folder that all machines share.
-
-    Tasks write whole files under a name of their own and then rename them, so a task that runs twice does no harm.
-    Where the folder is a mounted file system, workers map the files themselves; from any other store they fetch a file
-    once into Spark's folder for files of the job and map the copy.
-    """
-
-    uri: str
-    opened: dict = field(default_factory=dict, repr=False)
-
-    def __getstate__(self) -> dict:
-        return {"uri": self.uri, "opened": {}}
-
-    def _at(self, name: str) -> tuple[pyarrow.fs.FileSystem, str]:
-        store, path = pyarrow.fs.FileSystem.from_uri(self.uri)
-        return store, f"{path}/{name}.npy"
-
-    def create(self) -> None:
-        store, path = pyarrow.fs.FileSystem.from_uri(self.uri)
-        store.create_dir(path, recursive=True)
-
-    def write(self, name: str, array: np.ndarray) -> None:
-        store, path = self._at(name)
-        own = f"{path}.{os.getpid()}-{os.urandom(8).hex()}"
-        with store.open_output_stream(own) as out:
-            np.lib.format.write_array(out, np.ascontiguousarray(array), allow_pickle=False)
-        store.move(own, path)
-
-    def read(self, name: str) -> np.ndarray:
-        if name not in self.opened:
-            store, path = self._at(name)
-            if not isinstance(store, pyarrow.fs.LocalFileSystem):
-                here = os.path.join(SparkFiles.getRootDirectory(), f"{os.path.basename(self.uri)}-{name}.npy")
-                if not os.path.exists(here):
-                    own = f"{here}.{os.getpid()}"
-                    with store.open_input_stream(path) as source, open(own, "wb") as out:
-                        while piece := source.read(1 << 24):
-                            out.write(piece)
-                    os.replace(own, here)
-                path = here
-            self.opened[name] = np.load(path, mmap_mode="r")
-        return self.opened[name]
-
-
-def shared_store(spark: SparkSession) -> Store:
-    path = spark._jvm.org.apache.hadoop.fs.Path(fresh_path(spark, "language-model"))
-    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    store = Store(full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full)
-    store.create()
-    return store
-
-
 @dataclass
 class Model:
     """Where the arrays are, the shards' first type numbers, and the model's few numbers.
@@ -348,7 +292,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     spark = docs.sparkSession
     bits = max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     texts = docs.select(F.col(text).alias("text"))
-    return _count_pairs(texts, _count_types(texts, shared_store(spark), bits))
+    return _count_pairs(texts, _count_types(texts, shared_store(spark, "language-model"), bits))
 
 
 def token_scores(hashes: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray]:

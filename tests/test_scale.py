@@ -2,11 +2,14 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from marketloom import session as S
 from marketloom.operators import baskets as B
+from marketloom.operators import blocked
 from marketloom.operators import discovery as D
 from marketloom.operators import lines as L
 from marketloom.operators import reorder as R
@@ -85,3 +88,40 @@ def test_greedy_step_computes_its_pick_once(spark):
     schema = "customer_id long, product_id long, producer_id long, score double, diversity_adjustment double, reason_codes array<string>"
     chosen = D.diversity_rerank(spark.createDataFrame([(1, 1, 1, 0.5, 0.0, ["x"])], schema), 3)
     assert optimized(chosen).count("lambdafunction(") < 40
+
+
+def test_tasks_map_the_adjacency(spark):
+    """Neither adjacency rows nor attributes of products are shuffled to the blocks: a task is given customers and their purchases."""
+    history = spark.range(60).selectExpr("id AS customer_id", "id % 7 AS product_id")
+    edges = spark.range(49).selectExpr("id % 7 AS product_a", "id DIV 7 AS product_b", "1L AS n").filter("product_a <> product_b")
+    products = spark.range(7).selectExpr("id AS product_id", "id * 2 AS producer_id")
+
+    def finish(block):
+        for batch, each in block.sums():
+            yield pa.RecordBatch.from_arrays([pa.array([",".join(batch.schema.names)]), pa.array([sum(x[2].sum() for x in each)])], names=["columns", "raw"])
+
+    found = blocked.blocked_product(history, edges, history.select("customer_id"), products, finish, "columns string, raw bigint")
+    assert "Union" not in optimized(found)
+    got = found.collect()
+    assert {r.columns for r in got} == {"customer_id,own"} and sum(r.raw for r in got) == 60 * 6
+
+
+def test_adjacency_rows_hold_every_count(spark, conf, monkeypatch):
+    """Small files and rows; counts on either side of those that are written as copies."""
+    monkeypatch.setattr(blocked, "NEIGHBOURS", 3)
+    monkeypatch.setattr(blocked, "GATHER", 20)
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "25")
+    rng = random.Random(3)
+    pairs = {(a, b): rng.choice([1, 1, 2, blocked.REPEATED, blocked.REPEATED + 1, 40]) for a in range(12) for b in range(15) if a != b and rng.random() < 0.7}
+    edges = spark.createDataFrame([(f"p{a:02d}", f"p{b:02d}", n) for (a, b), n in pairs.items()], "product_a string, product_b string, n long")
+    near = blocked.adjacency(edges, spark.createDataFrame([(f"p{i:02d}", i) for i in range(15)], "product_id string, number int"))
+    assert len(near.files) > 1 and near.products == 15
+    many, found = near.rows(np.arange(15, dtype=np.int32))
+    assert many.sum() == len(found) and (many[12:] == 0).all()
+    got = {}
+    for a, to, n in found:
+        for i, b in enumerate(to.tolist()):
+            got[a, b] = got.get((a, b), 0) + (1 if n is None else int(n[i]))
+    assert got == pairs
+    empty = blocked.adjacency(edges.limit(0), spark.createDataFrame([("p", 0)], "product_id string, number int"))
+    assert empty.rows(np.zeros(1, np.int32))[1] == []
