@@ -106,7 +106,7 @@ def test_tasks_map_the_adjacency(spark):
     assert {r.columns for r in got} == {"customer_id,own"} and sum(r.raw for r in got) == 60 * 6
 
 
-def test_adjacency_rows_hold_every_count(spark, conf, monkeypatch):
+def test_adjacency_rows_hold_every_count(spark, conf, monkeypatch, tmp_path):
     """Small files and rows; counts on either side of those that are written as copies."""
     monkeypatch.setattr(blocked, "NEIGHBOURS", 3)
     monkeypatch.setattr(blocked, "GATHER", 20)
@@ -114,7 +114,9 @@ def test_adjacency_rows_hold_every_count(spark, conf, monkeypatch):
     rng = random.Random(3)
     pairs = {(a, b): rng.choice([1, 1, 2, blocked.REPEATED, blocked.REPEATED + 1, 40]) for a in range(12) for b in range(15) if a != b and rng.random() < 0.7}
     edges = spark.createDataFrame([(f"p{a:02d}", f"p{b:02d}", n) for (a, b), n in pairs.items()], "product_a string, product_b string, n long")
-    near = blocked.adjacency(edges, spark.createDataFrame([(f"p{i:02d}", i) for i in range(15)], "product_id string, number int"))
+    written = str(tmp_path / "things")
+    spark.createDataFrame([(f"p{i:02d}", i) for i in range(15)], "product_id string, number int").write.parquet(written)
+    near = blocked.adjacency(edges, 15, written)
     assert len(near.files) > 1 and near.products == 15
     many, found = near.rows(np.arange(15, dtype=np.int32))
     assert many.sum() == len(found) and (many[12:] == 0).all()
@@ -123,5 +125,23 @@ def test_adjacency_rows_hold_every_count(spark, conf, monkeypatch):
         for i, b in enumerate(to.tolist()):
             got[a, b] = got.get((a, b), 0) + (1 if n is None else int(n[i]))
     assert got == pairs
-    empty = blocked.adjacency(edges.limit(0), spark.createDataFrame([("p", 0)], "product_id string, number int"))
-    assert empty.rows(np.zeros(1, np.int32))[1] == []
+    assert blocked.adjacency(edges.limit(0), 15, written).rows(np.zeros(1, np.int32))[1] == []
+
+
+def test_raw_scores_come_by_product(spark):
+    """Runs of a product are written in less room than products in turn."""
+    history = spark.range(30).selectExpr("id AS customer_id", "id % 5 AS product_id").coalesce(1)
+    edges = spark.range(25).selectExpr("id % 5 AS product_a", "id DIV 5 AS product_b", "1L AS n").filter("product_a <> product_b")
+    got = B.history_x_cooccurrence(history, edges).withColumn("task", F.spark_partition_id()).collect()
+    assert len(got) == 30 * 4
+    for task in {r.task for r in got}:
+        of = [r.product_id for r in got if r.task == task]
+        assert of == sorted(of)
+
+
+def test_products_of_one_id_have_all_its_pairs(spark, tmp_path):
+    written = str(tmp_path / "things")
+    spark.createDataFrame([("p0", 0), ("p1", 1), ("p1", 2), ("p2", 3)], "product_id string, number int").write.parquet(written)
+    edges = spark.createDataFrame([("p0", "p1", 2), ("p1", "p0", 2), ("p1", "p9", 1), ("p2", "p2", 1)], "product_a string, product_b string, n long")
+    _, found = blocked.adjacency(edges, 4, written).rows(np.arange(4, dtype=np.int32))
+    assert sorted((a, to.tolist()) for a, to, _ in found) == [(0, [1, 1, 2, 2]), (1, [0, 0]), (2, [0, 0]), (3, [3])]
